@@ -1,0 +1,64 @@
+"""Joins that stay balanced when one key holds a large part of a table.
+
+The frequent keys of the large side are found from a sample of its key columns and
+kept as a list of at most ``HOT_KEYS`` keys. Which keys are on that list decides only
+the route a row takes, never whether it is kept, so a sample is enough: rows of a listed
+key meet their partner through a broadcast bounded by the list, all other rows through
+a shuffle, where no key is frequent any more.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+HOT_KEYS = 1000
+HOT_ROWS = 1_000_000
+
+
+def keys_present(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def frequent_keys(
+    df: DataFrame,
+    keys: Sequence[str],
+    *,
+    fraction: float = 0.01,
+    min_rows: int = HOT_ROWS,
+    limit: int = HOT_KEYS,
+    seed: int = 7,
+) -> DataFrame | None:
+    """Keys estimated to hold ``min_rows`` rows or more, most frequent first; None if there are none.
+
+    At most ``limit`` keys reach the driver, so the result is a local relation that gives
+    the same keys wherever it is used and is always small enough to broadcast.
+    """
+    sample = df.select(*keys).filter(keys_present(keys))
+    if fraction < 1.0:
+        sample = sample.sample(fraction, seed)
+    counts = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") >= max(2, int(min_rows * fraction)))
+    rows = hot.orderBy(F.col("_n").desc()).limit(limit).drop("_n").collect()
+    return df.sparkSession.createDataFrame(rows, df.select(*keys).schema) if rows else None
+
+
+def split_by_keys(df: DataFrame, keys: Sequence[str], listed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is on a bounded list, and the rest; no row has a NULL key."""
+    small = F.broadcast(listed)
+    return df.join(small, list(keys), "left_semi"), df.join(small, list(keys), "left_anti")
+
+
+def semi_join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame | None) -> DataFrame:
+    """Rows of ``left`` whose key is in ``right``, where ``right`` holds each key once."""
+    keys = list(keys)
+    left = left.filter(keys_present(keys))
+    right = right.select(*keys)
+    if hot is None:
+        return left.join(right, keys, "left_semi")
+    left_hot, left_cold = split_by_keys(left, keys, hot)
+    right_hot = F.broadcast(right.join(F.broadcast(hot), keys, "left_semi"))
+    return left_hot.join(right_hot, keys, "left_semi").unionByName(left_cold.join(right, keys, "left_semi"))
