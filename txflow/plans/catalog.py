@@ -458,8 +458,8 @@ def _customers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _versioned(spark: SparkSession, first: DataFrame, by_day: bool = False) -> VersionedTable:
-    parts = {"day": "to_date(timestamp)"} if by_day else None
+def _versioned(spark: SparkSession, first: DataFrame, by_month: bool = False) -> VersionedTable:
+    parts = {"month": "trunc(timestamp, 'MM')"} if by_month else None
     table = VersionedTable(spark, storage.fresh_dir(spark, "versioned"), parts)
     table.overwrite(first)
     return table
@@ -474,7 +474,7 @@ def _(spark, sf):
 
 @_query("versioned_as_of", TX + "select * from dirty_tx")
 def _(spark, sf):
-    table = _versioned(spark, dirty_tx(spark, sf), by_day=True)
+    table = _versioned(spark, dirty_tx(spark, sf), by_month=True)
     table.update(F.col("customer_id") == "C00001", {"amount": fx.scaled(F.col("amount"))})
     table.delete(F.col("amount") < 0)
     return table.read(version=0)
@@ -519,7 +519,7 @@ def _(spark, sf):
 
 @_query("versioned_merge_upsert", _with(_B, _SOURCE, _MERGED) + "select * from merged")
 def _(spark, sf):
-    table = _versioned(spark, dirty_tx(spark, sf), by_day=True)
+    table = _versioned(spark, dirty_tx(spark, sf), by_month=True)
     table.merge(_merge_source(spark, sf), ["transaction_id"])
     return table.read()
 
@@ -556,7 +556,7 @@ where o.transaction_id is null or n.transaction_id is null
       is distinct from (n.customer_id, n.amount, n."timestamp", n.merchant)""",
 )
 def _(spark, sf):
-    table = _versioned(spark, daily.keep_first(dirty_tx(spark, sf)), by_day=True)
+    table = _versioned(spark, daily.keep_first(dirty_tx(spark, sf)), by_month=True)
     table.delete(F.col("amount") < 0)
     table.merge(_merge_source(spark, sf), ["transaction_id"])
     return table.diff(0, 2, ["transaction_id"]).select("transaction_id", "change", "old_amount", "new_amount")
@@ -570,7 +570,7 @@ select transaction_id, customer_id, amount, "timestamp", merchant, 'removed' as
 from dirty_tx where amount < 0 group by all""",
 )
 def _(spark, sf):
-    table = _versioned(spark, dirty_tx(spark, sf), by_day=True)
+    table = _versioned(spark, dirty_tx(spark, sf), by_month=True)
     table.delete(F.col("amount") < 0)
     return table.diff(0, 1)
 

@@ -64,7 +64,7 @@ def run_daily(spark: SparkSession, config: FlowConfig, run_id: str | None = None
         quality.gate_min_rows("result not empty", counts["aggregated_rows"], 1)
         quality.gate_min_rows("enough results", counts["aggregated_rows"], config.min_result_rows, "warn")
         batch = assert_schema(daily.totals_of(stage.rows), table.schema)
-        version = table.upsert(batch)
+        version = table.upsert(batch, stored_at=stage.path)
         loaded = quality.assert_reconciled(batch, table.read_touching(batch), table.keys)
     if config.quarantine:
         quarantined(raw).write.mode("errorifexists").parquet(f"{config.quarantine}/run={run_id}")
@@ -168,12 +168,12 @@ def run_incremental(spark: SparkSession, arrived: DataFrame, config: FlowConfig,
         changes = spark.read.parquet(f"{stage}/changes")
         shifted = spark.read.parquet(f"{stage}/totals")
         if not survivors.has_tag(batch_id):
-            survivors.merge(changes.select(*RAW_TRANSACTIONS.names), ["transaction_id"], tag=batch_id)
+            rows = changes.select(*RAW_TRANSACTIONS.names)
+            survivors.merge(rows, ["transaction_id"], stored_at=f"{stage}/changes", tag=batch_id)
         upserts, emptied = shifted.filter("transaction_count > 0"), shifted.filter("transaction_count = 0")
-        totals.upsert(upserts, deletes=emptied, tag=batch_id)
-        quality.assert_reconciled(upserts, totals.read_touching(upserts), totals.keys)
-        counts = {k: int(v) for k, v in spark.read.parquet(f"{stage}/counts").first().asDict().items()}
-        loaded = upserts.count()
+        totals.upsert(upserts, deletes=emptied, stored_at=f"{stage}/totals", tag=batch_id)
+        loaded = quality.assert_reconciled(upserts, totals.read_touching(upserts), totals.keys)
+        counts = _arrival_counts(spark.read.parquet(f"{stage}/firsts"))
         storage.delete(spark, stage)
     else:
         counts = dict.fromkeys(("raw_rows", "quarantined_rows", "deduplicated_rows", "valid_rows"), 0)
@@ -203,9 +203,13 @@ def _stage_batch(
     changes = spark.read.schema(changes.schema).parquet(f"{stage}/changes")
     deltas = total_changes(changes)
     shifted_totals(totals.read_touching(deltas), deltas).write.mode("errorifexists").parquet(f"{stage}/totals")
-    firsts.agg(
+
+
+def _arrival_counts(firsts: DataFrame) -> dict[str, int]:
+    counted = firsts.agg(
         F.coalesce(F.sum("_raw"), F.lit(0)).alias("raw_rows"),
         F.coalesce(F.sum("_quarantined"), F.lit(0)).alias("quarantined_rows"),
         F.count_if(cleanse.has_keys()).alias("deduplicated_rows"),
         F.count_if(cleanse.has_keys() & cleanse.is_positive(firsts)).alias("valid_rows"),
-    ).write.mode("errorifexists").parquet(f"{stage}/counts")
+    )
+    return counted.first().asDict()

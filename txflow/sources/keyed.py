@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txflow.operators import rollup, upsert
-from txflow.operators.dedup import duplicate_keys
 from txflow.operators.quality import QualityGateError
 from txflow.operators.skew import keys_present
 from txflow.schemas import AUDIT_TRANSACTIONS, DAILY_TOTALS, conform
@@ -58,18 +57,20 @@ class KeyedTable:
         *,
         sequence: Sequence[str] | None = None,
         deletes: DataFrame | None = None,
+        stored_at: str | None = None,
         tag: str | None = None,
     ) -> int:
         """Insert or replace by key; with ``deletes``, also drop the keys listed there.
 
         A batch that repeats a key needs ``sequence``, the columns that say which row is last.
+        The batch is staged first, unless it is a plain read of files at ``stored_at``.
         A batch already committed under ``tag`` is skipped.
         """
         if tag is not None and self.table.has_tag(tag):
             return self.table.version()
         if sequence is not None:
-            batch = upsert.collapse_batch(batch, self.keys, sequence)
-        with storage.staged(conform(batch, self.schema), "upsert-batch") as stage:
+            batch, stored_at = upsert.collapse_batch(batch, self.keys, sequence), None
+        with storage.staged(conform(batch, self.schema), "upsert-batch", stored_at) as stage:
             rows = stage.rows
             self._check_keys(rows)
             touched = rows.select(*self.keys)
@@ -95,11 +96,10 @@ class KeyedTable:
             return self.table.replace(rows, dropped, "REPLACE", base=base, tag=tag)
 
     def _check_keys(self, rows: DataFrame) -> None:
-        if not rows.filter(~keys_present(self.keys)).isEmpty():
-            raise QualityGateError(f"NULL in key columns {self.keys}")
-        repeated = duplicate_keys(rows, self.keys).take(1)
-        if repeated:
-            raise QualityGateError(f"batch repeats a key, for example {repeated[0]}; name a sequence")
+        """One pass over the key columns, counted per key before the shuffle."""
+        counts = rows.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("copies"))
+        for bad in counts.filter((F.col("copies") > 1) | ~keys_present(self.keys)).take(1):
+            raise QualityGateError(f"batch has a NULL or repeated key: {bad}; a repeated key needs a sequence")
 
     def _folders_for(self, base, keys: DataFrame) -> list[str]:
         """Data folders of the partitions these keys fall into: at most one value per day or bucket."""

@@ -103,12 +103,16 @@ class Staged(NamedTuple):
 
 
 @contextmanager
-def staged(df: DataFrame, name: str) -> Iterator[Staged]:
+def staged(df: DataFrame, name: str, stored_at: str | None = None) -> Iterator[Staged]:
     """Write a frame once and read it back, for work that uses it several times.
 
     Cuts lineage, gives Spark the true size, and survives lost executors. The copy is
     removed at the end of the block, so no frame built on it may leave the block unread.
+    A frame that is a plain read of files names their folder in ``stored_at`` and is not copied.
     """
+    if stored_at is not None:
+        yield Staged(df, stored_at)
+        return
     spark = df.sparkSession
     path = fresh_dir(spark, name)
     df.write.mode("errorifexists").parquet(path)

@@ -32,9 +32,10 @@ from txflow.sources import storage
 COMMIT_SCHEMA = (
     "version bigint, timestamp timestamp, operation string, predicate string, "
     "operationMetrics map<string,string>, tag string, data_dirs array<string>, "
-    "partition_by map<string,string>, schema_json string"
+    "partition_by map<string,string>, partition_types map<string,string>, schema_json string"
 )
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+PARTITION_TYPES = ("date", "int", "bigint")
 
 
 class ConcurrentCommitError(RuntimeError):
@@ -60,6 +61,7 @@ class Commit:
     operationMetrics: dict[str, str] = field(default_factory=dict)
     tag: str | None = None
     partition_by: dict[str, str] = field(default_factory=dict)
+    partition_types: dict[str, str] = field(default_factory=dict)
 
     @property
     def schema(self) -> T.StructType:
@@ -140,9 +142,9 @@ class VersionedTable:
         schema = commit.schema
         derived = [c for c in commit.partition_by if c not in schema.names]
         place = ["snapshot", *commit.partition_by]
-        typed = self._partition_types(commit)
-        stored = [f for f in schema if f.name not in commit.partition_by]
-        full = T.StructType([*stored, T.StructField("snapshot", T.StringType()), *typed])
+        full = T.StructType([f for f in schema if f.name not in commit.partition_by]).add("snapshot", "string")
+        for name, dtype in commit.partition_types.items():
+            full = full.add(name, dtype)
         if dirs:
             paths = [f"{self.root}/{d}" for d in dirs]
             df = self.spark.read.schema(full).option("basePath", self.root).parquet(*paths)
@@ -152,15 +154,16 @@ class VersionedTable:
         extra = [F.col(c) for c in place if c == "snapshot" or c in derived] if located else []
         return df.select(*own, *extra)
 
-    def _partition_types(self, commit: Commit) -> list[T.StructField]:
-        if not commit.partition_by:
-            return []
-        empty = self.spark.createDataFrame([], commit.schema)
-        fields = empty.select(*[F.expr(e).alias(c) for c, e in commit.partition_by.items()]).schema.fields
-        for f in fields:
-            if not isinstance(f.dataType, (T.DateType, T.IntegerType, T.LongType)):
-                raise ValueError(f"partition column {f.name} must be a date or an integer")
-        return [T.StructField(f.name, f.dataType) for f in fields]
+    def _layout(self, schema: T.StructType, partition_by: Mapping[str, str]) -> dict[str, dict[str, str]]:
+        """The partitioning as a commit records it: expressions, and the types they give."""
+        types = {}
+        if partition_by:
+            empty = self.spark.createDataFrame([], schema)
+            types = dict(empty.select(*[F.expr(e).alias(c) for c, e in partition_by.items()]).dtypes)
+        for name, dtype in types.items():
+            if dtype not in PARTITION_TYPES:
+                raise ValueError(f"partition column {name} is {dtype}; it must be one of {PARTITION_TYPES}")
+        return {"partition_by": dict(partition_by), "partition_types": types}
 
     @staticmethod
     def _dir_of(row, partition_by: Mapping[str, str]) -> str:
@@ -192,9 +195,15 @@ class VersionedTable:
         names = [n for n, is_dir, _ in storage.children(self.spark, f"{self.root}/{prefix}") if is_dir and "=" in n]
         return [leaf for n in sorted(names) for leaf in self._leaves(f"{prefix}/{n}", depth - 1)]
 
-    def _count(self, commit: Commit, dirs: Sequence[str]) -> int:
-        """Row count from Parquet footers; exact also when tasks were retried, unlike accumulators."""
-        return self._scan(commit, dirs).count() if dirs else 0
+    def _counts(self, commit: Commit, before: Sequence[str], fresh: Sequence[str]) -> tuple[int, int]:
+        """Rows in the folders that go and in those that come, from Parquet footers.
+
+        Exact also when tasks were repeated, unlike accumulators.
+        """
+        new = {d.split("/")[0].removeprefix("snapshot=") for d in fresh}
+        rows = self._scan(commit, [*before, *fresh], located=True).groupBy("snapshot").count().collect()
+        after = sum(r["count"] for r in rows if r["snapshot"] in new)
+        return sum(r["count"] for r in rows) - after, after
 
     def _affected(self, commit: Commit, rows: DataFrame) -> tuple[list[str], int]:
         """Data folders that hold some of ``rows`` (located), and the number of such rows."""
@@ -237,7 +246,7 @@ class VersionedTable:
         """Declare an empty table unless it is there already."""
         if self.exists():
             return False
-        self._commit("CREATE", [], schema, partition_by=self._partition_by)
+        self._commit("CREATE", [], schema, **self._layout(schema, self._partition_by))
         return True
 
     def overwrite(self, df: DataFrame, tag: str | None = None) -> int:
@@ -247,10 +256,11 @@ class VersionedTable:
         parts = self._partition_by
         if not parts and self.exists():
             parts = self._commit_at().partition_by
+        layout = self._layout(df.schema, parts)
         dirs = self._write(df, parts)
-        draft = Commit(0, "", "WRITE", dirs, df.schema.json(), partition_by=dict(parts))
-        metrics = {"numOutputRows": str(self._count(draft, dirs))}
-        return self._commit("WRITE", dirs, df.schema, operationMetrics=metrics, partition_by=dict(parts), tag=tag)
+        draft = Commit(0, "", "WRITE", dirs, df.schema.json(), **layout)
+        metrics = {"numOutputRows": str(self._counts(draft, [], dirs)[1])}
+        return self._commit("WRITE", dirs, df.schema, operationMetrics=metrics, tag=tag, **layout)
 
     def replace(
         self,
@@ -268,7 +278,7 @@ class VersionedTable:
         base = base or self._commit_at()
         gone = set(dropped)
         fresh = self._write(df, base.partition_by, shuffle)
-        before, after = self._count(base, dropped), self._count(base, fresh)
+        before, after = self._counts(base, dropped, fresh)
         all_metrics = {"numRowsBefore": str(before), "numRowsAfter": str(after), **(metrics or {})}
         if operation == "DELETE":
             all_metrics["numDeletedRows"] = str(before - after)
@@ -281,6 +291,7 @@ class VersionedTable:
             predicate=predicate,
             operationMetrics=all_metrics,
             partition_by=base.partition_by,
+            partition_types=base.partition_types,
             tag=tag,
         )
 
@@ -291,6 +302,7 @@ class VersionedTable:
             base.schema,
             operationMetrics=dict(metrics),
             partition_by=base.partition_by,
+            partition_types=base.partition_types,
             **details,
         )
 
@@ -320,15 +332,17 @@ class VersionedTable:
         df = dml.apply_delete(self._scan(base, touched), condition)
         return self.replace(df, touched, "DELETE", base=base, predicate=_text(condition), tag=tag, shuffle=False)
 
-    def merge(self, source: DataFrame, keys: Sequence[str], tag: str | None = None) -> int:
+    def merge(
+        self, source: DataFrame, keys: Sequence[str], *, stored_at: str | None = None, tag: str | None = None
+    ) -> int:
         """Update all matched rows, insert all unmatched source rows.
 
-        The source is staged once. If its files are below the broadcast threshold the table
+        The source is staged once, unless it is a plain read of files at ``stored_at``. If its files are below the broadcast threshold the table
         is not shuffled; otherwise its frequent keys are found first and kept out of the
         shuffle. Several source rows under one non-NULL key raise.
         """
         base, keys = self._commit_at(), list(keys)
-        with storage.staged(dml.cast_like(source, self._scan(base)), "merge-source") as stage:
+        with storage.staged(dml.cast_like(source, self._scan(base)), "merge-source", stored_at) as stage:
             src = stage.rows
             keyed = src.filter(keys_present(keys))
             repeated = duplicate_keys(keyed, keys).take(1)
