@@ -35,7 +35,7 @@ COMMIT_SCHEMA = (
     "partition_by map<string,string>, partition_types map<string,string>, schema_json string"
 )
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
-PARTITION_TYPES = ("date", "int", "bigint")
+PARTITION_TYPES = {"date": T.DateType(), "int": T.IntegerType(), "bigint": T.LongType()}
 
 
 class ConcurrentCommitError(RuntimeError):
@@ -144,7 +144,7 @@ class VersionedTable:
         place = ["snapshot", *commit.partition_by]
         full = T.StructType([f for f in schema if f.name not in commit.partition_by]).add("snapshot", "string")
         for name, dtype in commit.partition_types.items():
-            full = full.add(name, dtype)
+            full = full.add(name, PARTITION_TYPES[dtype])
         if dirs:
             paths = [f"{self.root}/{d}" for d in dirs]
             df = self.spark.read.schema(full).option("basePath", self.root).parquet(*paths)
@@ -162,7 +162,7 @@ class VersionedTable:
             types = dict(empty.select(*[F.expr(e).alias(c) for c, e in partition_by.items()]).dtypes)
         for name, dtype in types.items():
             if dtype not in PARTITION_TYPES:
-                raise ValueError(f"partition column {name} is {dtype}; it must be one of {PARTITION_TYPES}")
+                raise ValueError(f"partition column {name} is {dtype}; it must be one of {list(PARTITION_TYPES)}")
         return {"partition_by": dict(partition_by), "partition_types": types}
 
     @staticmethod
