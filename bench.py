@@ -9,6 +9,11 @@ import time
 from pyspark.sql import SparkSession
 
 import __spark_entry__
+from txflow.operators.cleanse import with_transaction_date
+from txflow.operators.rollup import daily_totals_float
+from txflow.plans.daily import rollup_with_counts, stage_counts, totals_of
+from txflow.plans.fixtures import dirty_tx
+from txflow.sources.storage import staged
 
 # Pure plans, then the queries that also write and read back tables.
 HEADLINE = [
@@ -29,6 +34,36 @@ HEADLINE = [
 ]
 
 
+RUNS = 3
+
+
+def best_of(action) -> float:
+    seconds = []
+    for _ in range(RUNS):
+        start = time.perf_counter()
+        action()
+        seconds.append(time.perf_counter() - start)
+    return round(min(seconds), 3)
+
+
+def stepwise(spark: SparkSession, sf_dir: str) -> None:
+    """The same run as a chain of counted steps, for comparison: native dedup, float sums, a sorted result."""
+    raw = dirty_tx(spark, sf_dir)
+    deduplicated = raw.dropDuplicates(["transaction_id"])
+    valid = deduplicated.filter("amount > 0")
+    totals = daily_totals_float(with_transaction_date(valid)).orderBy("customer_id", "transaction_date")
+    for step in (raw, deduplicated, valid, totals):
+        step.count()
+    totals.write.format("noop").mode("overwrite").save()
+
+
+def one_pass(spark: SparkSession, sf_dir: str) -> None:
+    """All stage counts and the totals from one staged result."""
+    with staged(rollup_with_counts(dirty_tx(spark, sf_dir)), "bench") as stage:
+        stage_counts(stage.rows).collect()
+        totals_of(stage.rows).write.format("noop").mode("overwrite").save()
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -38,20 +73,18 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = __spark_entry__.queries()
     queries["count_rows"](spark, sf_dir).collect()
-    seconds = {}
-    for name in HEADLINE:
-        runs = []
-        for _ in range(2):
-            start = time.perf_counter()
-            queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - start)
-        seconds[name] = round(min(runs), 3)
+    seconds = {
+        name: best_of(lambda q=queries[name]: q(spark, sf_dir).write.format("noop").mode("overwrite").save())
+        for name in HEADLINE
+    }
+    comparison = {f.__name__: best_of(lambda f=f: f(spark, sf_dir)) for f in (stepwise, one_pass)}
     spark.stop()
     print(
         json.dumps(
@@ -60,6 +93,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "comparison": comparison,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
             }
         )

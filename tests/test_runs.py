@@ -1,5 +1,6 @@
 """Sources, generators, the daily and incremental runs, the stream and the command line."""
 
+import random
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -19,6 +20,7 @@ from txflow.sources.versioned import VersionedTable
 from txflow.streaming.feed import run_available
 
 SF = "/root/testdata/sf0.001"
+TX = "transaction_id string, customer_id string, amount decimal(18,2), timestamp timestamp, merchant string"
 AS_OF = datetime(2026, 3, 15, 12, 0, 0)
 
 
@@ -198,6 +200,51 @@ def test_incremental_equals_full_with_late_and_repeated_rows(spark, tmp_path, mo
     assert rows_of(table.read()) == rows_of(daily.transform(raw(spark)))
 
 
+def brute_force(rows):
+    """Daily totals by plain Python: earliest copy per id (NULLs first among equals), then positive amounts."""
+    first = {}
+    for i, c, a, t, m in rows:
+        if None in (i, c, t):
+            continue
+        order = (t, c, (a is not None, a or 0), m)
+        if i not in first or order < first[i]:
+            first[i] = order
+    totals = {}
+    for t, c, (known, a), _ in first.values():
+        if known and a > 0:
+            total, count = totals.get((c, t.date()), (Decimal(0), 0))
+            totals[c, t.date()] = (total + a, count + 1)
+    return sorted(((c, d, total, n) for (c, d), (total, n) in totals.items()), key=str)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_batches_against_brute_force(spark, tmp_path, seed):
+    draw = random.Random(seed)
+    config = flow(tmp_path)
+    seen = []
+    for number in range(3):
+        batch = [
+            (
+                draw.choice([None, "HOT", "HOT", "HOT", *(f"t{i}" for i in range(30))]),
+                draw.choice([None, *"ABC", *"ABC"]),
+                draw.choice([None, Decimal(0), Decimal("-1.50"), *(Decimal(i) / 4 for i in range(1, 40))]),
+                draw.choice([None, *(datetime(2026, 3, 1 + i // 4, 6 * (i % 4)) for i in range(20))]),
+                draw.choice(["X", "Y"]),
+            )
+            for _ in range(80)
+        ]
+        seen += batch
+        arrived = spark.createDataFrame(batch, TX)
+        run.run_incremental(spark, arrived, config, str(number))
+        table = KeyedTable.daily_totals(spark, config.target)
+        assert rows_of(table.read()) == brute_force(seen)
+    everything = spark.createDataFrame(seen, TX)
+    assert rows_of(daily.transform(everything)) == brute_force(seen)
+    counts = daily.stage_counts(daily.rollup_with_counts(everything)).first()
+    assert counts.raw_rows == len(seen)
+    assert counts.quarantined_rows == sum(None in (i, c, t) for i, c, _, t, _ in seen)
+
+
 @pytest.mark.parametrize("broken", ["survivors", "totals"])
 def test_interrupted_incremental_run_continues(spark, tmp_path, monkeypatch, broken):
     config = flow(tmp_path)

@@ -23,20 +23,29 @@ def _transaction(df: DataFrame, amount: Column, ts: Column) -> DataFrame:
     )
 
 
-def originals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as a transaction; some amounts are zeroed, some negated."""
+def _originals(events: DataFrame) -> DataFrame:
     amount, number = F.col("value").cast(MONEY), F.col("event_id")
     spoiled = F.when(number % 33 == 1, F.lit(0).cast(MONEY)).when(number % 50 == 2, -amount).otherwise(amount)
-    return _transaction(load(spark, sf_dir, "events"), spoiled, F.col("ts"))
+    return _transaction(events, spoiled, F.col("ts"))
 
 
-def copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The injected duplicates: 30 hours later, a third of them zeroed."""
+def _copies(events: DataFrame) -> DataFrame:
     amount, number = F.col("value").cast(MONEY), F.col("event_id")
     spoiled = F.when(number % 60 == 0, F.lit(0).cast(MONEY)).otherwise(amount)
-    repeated = load(spark, sf_dir, "events").filter(number % 20 == 0)
-    return _transaction(repeated, spoiled, F.col("ts") + F.expr("interval 30 hours"))
+    return _transaction(events.filter(number % 20 == 0), spoiled, F.col("ts") + F.expr("interval 30 hours"))
+
+
+def originals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a transaction; some amounts are zeroed, some negated."""
+    return _originals(load(spark, sf_dir, "events"))
+
+
+def copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The injected duplicates: 30 hours later, a third of them zeroed."""
+    return _copies(load(spark, sf_dir, "events"))
 
 
 def dirty_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return originals(spark, sf_dir).unionByName(copies(spark, sf_dir))
+    """Originals and copies together: what a raw transactions table looks like."""
+    events = load(spark, sf_dir, "events")
+    return _originals(events).unionByName(_copies(events))

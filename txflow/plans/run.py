@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
 from datetime import datetime, timezone
@@ -102,12 +103,13 @@ def survivor_table(spark: SparkSession, root: str) -> VersionedTable:
 def changed_survivors(known: DataFrame, arrived: DataFrame, small: bool) -> DataFrame:
     """Transactions whose survivor is new or moves to an earlier copy, with the row that gives way.
 
-    ``known`` and ``arrived`` hold each id once. The known ids are first cut down to those
-    that arrived, without a shuffle of the large side where the arrivals are ``small``.
+    ``known`` and ``arrived`` hold each id once. Where the arrivals are ``small``, the known
+    rows are cut down to the ids that arrived before anything is shuffled.
     """
-    ids = arrived.select("transaction_id")
     row = F.struct(*ROW_ORDER)
-    affected = known.join(F.broadcast(ids) if small else ids, ["transaction_id"], "left_semi")
+    affected = known
+    if small:
+        affected = known.join(F.broadcast(arrived.select("transaction_id")), ["transaction_id"], "left_semi")
     old = affected.select("transaction_id", row.alias("_old"))
     joined = arrived.select("transaction_id", row.alias("_new")).join(old, ["transaction_id"], "left")
     wins = F.col("_old").isNull() | (F.col("_new") < F.col("_old"))
@@ -164,12 +166,13 @@ def run_incremental(spark: SparkSession, arrived: DataFrame, config: FlowConfig,
         if not storage.exists(spark, f"{stage}/READY"):
             storage.delete(spark, stage)
             _stage_batch(spark, conform(arrived, RAW_TRANSACTIONS), survivors, totals, stage)
-            storage.create_text(spark, f"{stage}/READY", batch_id)
         changes = spark.read.parquet(f"{stage}/changes")
         shifted = spark.read.parquet(f"{stage}/totals")
         if not survivors.has_tag(batch_id):
             rows = changes.select(*RAW_TRANSACTIONS.names)
-            survivors.merge(rows, ["transaction_id"], stored_at=f"{stage}/changes", tag=batch_id)
+            ready = json.loads(storage.read_text(spark, f"{stage}/READY"))
+            within = ready["folders"] if ready["version"] == survivors.version() else None
+            survivors.merge(rows, ["transaction_id"], stored_at=f"{stage}/changes", within=within, tag=batch_id)
         upserts, emptied = shifted.filter("transaction_count > 0"), shifted.filter("transaction_count = 0")
         totals.upsert(upserts, deletes=emptied, stored_at=f"{stage}/totals", tag=batch_id)
         loaded = quality.assert_reconciled(upserts, totals.read_touching(upserts), totals.keys)
@@ -198,11 +201,14 @@ def _stage_batch(
     firsts = spark.read.schema(firsts.schema).parquet(f"{stage}/firsts")
     usable_firsts = firsts.filter(cleanse.has_keys()).select(*RAW_TRANSACTIONS.names)
     small = storage.fits_broadcast(spark, f"{stage}/firsts")
-    changes = changed_survivors(survivors.read(), usable_firsts, small)
+    version = survivors.version()
+    folders = survivors.folders_with(usable_firsts, ["transaction_id"], small)
+    changes = changed_survivors(survivors.read_folders(folders), usable_firsts, small)
     changes.write.mode("errorifexists").parquet(f"{stage}/changes")
     changes = spark.read.schema(changes.schema).parquet(f"{stage}/changes")
     deltas = total_changes(changes)
     shifted_totals(totals.read_touching(deltas), deltas).write.mode("errorifexists").parquet(f"{stage}/totals")
+    storage.create_text(spark, f"{stage}/READY", json.dumps({"version": version, "folders": folders}))
 
 
 def _arrival_counts(firsts: DataFrame) -> dict[str, int]:

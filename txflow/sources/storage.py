@@ -43,18 +43,32 @@ def size_of(spark: SparkSession, path: str) -> int:
 
 
 def create_text(spark: SparkSession, path: str, text: str) -> bool:
-    """Write a new small file; False if it is there already."""
-    fs, p = _fs(spark, path)
-    try:
-        out = fs.create(p, False)
-    except Py4JJavaError as error:
-        if fs.exists(p):
-            return False
-        raise error
+    """Write a new small file, whole or not at all; False if the name is taken.
+
+    The text goes to a hidden file first and is then renamed without overwriting.
+    """
+    folder, name = path.rsplit("/", 1)
+    fs, draft = _fs(spark, f"{folder}/.{name}-{uuid.uuid4().hex[:8]}")
+    out = fs.create(draft, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    jvm = spark.sparkContext._jvm
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    no_overwrite = spark.sparkContext._gateway.new_array(rename, 1)
+    no_overwrite[0] = rename.NONE
+    target = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(path))
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        target.toUri(), spark.sparkContext._jsc.hadoopConfiguration()
+    )
+    try:
+        context.rename(fs.makeQualified(draft), target, no_overwrite)
+    except Py4JJavaError:
+        fs.delete(draft, False)
+        if fs.exists(target):
+            return False
+        raise
     return True
 
 

@@ -211,6 +211,18 @@ class VersionedTable:
         counted = rows.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).collect()
         return sorted(self._dir_of(r, commit.partition_by) for r in counted), sum(r["n"] for r in counted)
 
+    def folders_with(self, unique: DataFrame, keys: Sequence[str], small: bool) -> list[str]:
+        """Data folders that hold rows under some unique keys; reads the key columns only."""
+        base = self._commit_at()
+        located = self._scan(base, located=True)
+        hot = None if small else frequent_keys(located, keys)
+        unique = F.broadcast(unique.select(*keys)) if small else unique
+        return self._affected(base, semi_join_unique(located, unique, keys, hot))[0]
+
+    def read_folders(self, dirs: Sequence[str]) -> DataFrame:
+        """Rows of some of the latest version's data folders."""
+        return self._scan(self._commit_at(), dirs)
+
     # -- reads -----------------------------------------------------------------
 
     def read(self, version: int | None = None) -> DataFrame:
@@ -333,13 +345,20 @@ class VersionedTable:
         return self.replace(df, touched, "DELETE", base=base, predicate=_text(condition), tag=tag, shuffle=False)
 
     def merge(
-        self, source: DataFrame, keys: Sequence[str], *, stored_at: str | None = None, tag: str | None = None
+        self,
+        source: DataFrame,
+        keys: Sequence[str],
+        *,
+        stored_at: str | None = None,
+        within: Sequence[str] | None = None,
+        tag: str | None = None,
     ) -> int:
         """Update all matched rows, insert all unmatched source rows.
 
         The source is staged once, unless it is a plain read of files at ``stored_at``. If its files are below the broadcast threshold the table
         is not shuffled; otherwise its frequent keys are found first and kept out of the
-        shuffle. Several source rows under one non-NULL key raise.
+        shuffle. Several source rows under one non-NULL key raise. A caller that has already
+        found the data folders with matches (``folders_with``) passes them as ``within``.
         """
         base, keys = self._commit_at(), list(keys)
         with storage.staged(dml.cast_like(source, self._scan(base)), "merge-source", stored_at) as stage:
@@ -349,7 +368,7 @@ class VersionedTable:
             if repeated:
                 raise AmbiguousMergeError(f"several source rows under one key, for example {repeated[0]}")
             small = storage.fits_broadcast(self.spark, stage.path)
-            located = self._scan(base, located=True)
+            located = self._scan(base, within, located=True)
             hot = None if small else frequent_keys(located, keys)
             unique = F.broadcast(keyed.select(*keys)) if small else keyed
             touched, hits = self._affected(base, semi_join_unique(located, unique, keys, hot))
