@@ -142,6 +142,8 @@ def test_missing_tables_and_versions(spark, root):
         table.read(5)
     with pytest.raises(ValueError):
         VersionedTable(spark, root + "2", {"p": "b"}).overwrite(spark.createDataFrame([("x",)], "b string"))
+    with pytest.raises(ValueError, match="own column"):
+        VersionedTable(spark, root + "3", {"a": "a + 1"}).overwrite(spark.createDataFrame([(1,)], "a int"))
 
 
 def test_vacuum(spark, root):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
+import re
 import uuid
 from datetime import datetime, timezone
 
@@ -65,6 +66,8 @@ def run_daily(spark: SparkSession, config: FlowConfig, run_id: str | None = None
         quality.gate_min_rows("result not empty", counts["aggregated_rows"], 1)
         quality.gate_min_rows("enough results", counts["aggregated_rows"], config.min_result_rows, "warn")
         batch = assert_schema(daily.totals_of(stage.rows), table.schema)
+        if log.isEnabledFor(logging.INFO):
+            quality.log_sample(batch, 10, table.keys)
         version = table.upsert(batch, stored_at=stage.path)
         loaded = quality.assert_reconciled(batch, table.read_touching(batch), table.keys)
     if config.quarantine:
@@ -157,6 +160,8 @@ def run_incremental(spark: SparkSession, arrived: DataFrame, config: FlowConfig,
     applied already changes nothing.
     """
     check_session(spark)
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", batch_id):
+        raise ValueError("a batch id is made of letters, digits, dots, dashes and underscores")
     if not config.survivors:
         raise ValueError("an incremental run needs config.survivors")
     survivors = survivor_table(spark, config.survivors)
@@ -200,7 +205,7 @@ def _stage_batch(
     firsts.write.mode("errorifexists").parquet(f"{stage}/firsts")
     firsts = spark.read.schema(firsts.schema).parquet(f"{stage}/firsts")
     usable_firsts = firsts.filter(cleanse.has_keys()).select(*RAW_TRANSACTIONS.names)
-    small = storage.fits_broadcast(spark, f"{stage}/firsts")
+    small = storage.fits_broadcast(storage.Staged(firsts, f"{stage}/firsts"))
     version = survivors.version()
     folders = survivors.folders_with(usable_firsts, ["transaction_id"], small)
     changes = changed_survivors(survivors.read_folders(folders), usable_firsts, small)

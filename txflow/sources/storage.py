@@ -11,8 +11,9 @@ from typing import NamedTuple
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
-# Upper bound, in bytes of Parquet files, for what is broadcast to every executor.
+# Upper bounds for what is broadcast to every executor: bytes of Parquet files, and rows.
 BROADCAST_BYTES = 10 * 1024 * 1024
+BROADCAST_ROWS = 500_000
 
 _local_scratch: dict[str, str] = {}
 
@@ -136,6 +137,7 @@ def staged(df: DataFrame, name: str, stored_at: str | None = None) -> Iterator[S
         delete(spark, path)
 
 
-def fits_broadcast(spark: SparkSession, path: str) -> bool:
-    """Whether stored rows are small enough, by the measured size of their files, to be broadcast."""
-    return size_of(spark, path) <= BROADCAST_BYTES
+def fits_broadcast(stage: Staged) -> bool:
+    """Whether stored rows may be broadcast, by the measured size of their files and their number."""
+    spark = stage.rows.sparkSession
+    return size_of(spark, stage.path) <= BROADCAST_BYTES and stage.rows.count() <= BROADCAST_ROWS

@@ -19,6 +19,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -157,6 +158,9 @@ class VersionedTable:
     def _layout(self, schema: T.StructType, partition_by: Mapping[str, str]) -> dict[str, dict[str, str]]:
         """The partitioning as a commit records it: expressions, and the types they give."""
         types = {}
+        for name, expression in partition_by.items():
+            if name in schema.names and expression != name:
+                raise ValueError(f"partition column {name} would replace the table's own column of that name")
         if partition_by:
             empty = self.spark.createDataFrame([], schema)
             types = dict(empty.select(*[F.expr(e).alias(c) for c, e in partition_by.items()]).dtypes)
@@ -228,11 +232,12 @@ class VersionedTable:
     def read(self, version: int | None = None) -> DataFrame:
         """The latest version, or the table as of a version."""
         commit = self._commit_at(version)
-        if version is not None and commit.data_dirs:
-            for d in commit.data_dirs:
-                if not storage.exists(self.spark, f"{self.root}/{d}"):
-                    raise VersionNotFoundError(f"version {version} of {self.root} was vacuumed")
-        return self._scan(commit)
+        try:
+            return self._scan(commit)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            raise VersionNotFoundError(f"version {commit.version} of {self.root} was vacuumed") from error
 
     def history(self) -> DataFrame:
         """One row per version, newest first."""
@@ -367,7 +372,7 @@ class VersionedTable:
             repeated = duplicate_keys(keyed, keys).take(1)
             if repeated:
                 raise AmbiguousMergeError(f"several source rows under one key, for example {repeated[0]}")
-            small = storage.fits_broadcast(self.spark, stage.path)
+            small = storage.fits_broadcast(stage)
             located = self._scan(base, within, located=True)
             hot = None if small else frequent_keys(located, keys)
             unique = F.broadcast(keyed.select(*keys)) if small else keyed

@@ -7,12 +7,15 @@ failure is applied once. Late rows need no watermark: all state is in the tables
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from txflow.config import FlowConfig
 from txflow.plans.run import run_incremental
 from txflow.schemas import RAW_TRANSACTIONS
+from txflow.sources import storage
 
 
 def run_available(
@@ -28,7 +31,9 @@ def run_available(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        run_incremental(batch.sparkSession, batch, config, batch_id=f"feed-{epoch}")
+        # The id in the checkpoint keeps batches of another checkpoint apart, which count from 0 again.
+        feed = json.loads(storage.read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+        run_incremental(batch.sparkSession, batch, config, batch_id=f"feed-{feed}-{epoch}")
 
     query = (
         reader.parquet(config.source)
