@@ -223,6 +223,23 @@ def test_merge_routes_agree(spark, route):
     assert rows_of(out) == MERGED
 
 
+def test_merge_plans(spark):
+    """A small source leaves the target unshuffled; frequent keys stay out of the shuffle of a large one."""
+    path = spark.conf.get("spark.checkpoint.dir") + "/merge-plan"
+    kv(spark, *TARGET).write.mode("overwrite").parquet(path)
+    target, source = spark.read.parquet(path), kv(spark, *SOURCE)
+    hot = skew.frequent_keys(target, ["k"], fraction=1.0, min_rows=2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = dml.apply_merge(target, source, ["k"], small_source=True)
+        large = dml.apply_merge(target, source, ["k"], hot=hot)
+        small, large = (df._jdf.queryExecution().executedPlan().toString() for df in (small, large))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in small and small.count("BroadcastHashJoin") == 3
+    assert large.count("SortMergeJoin") == 1 and "FullOuter" in large and "LeftAnti, BuildRight" in large
+
+
 def test_merge_with_nothing_and_into_nothing(spark):
     target, none = kv(spark, *TARGET), kv(spark, ("x", D("1"))).filter("false")
     for small in (True, False):

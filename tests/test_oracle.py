@@ -1,5 +1,6 @@
 """Every query against its SQL, at sf0.01, on names, types, row counts and values."""
 
+import os
 from decimal import Decimal
 from pathlib import Path
 
@@ -8,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 
-SF = "/root/testdata/sf0.01"
+SF = os.environ.get("TXFLOW_TEST_SF", "/root/testdata/sf0.01")
 QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
 
 
@@ -56,7 +57,7 @@ def test_entry(spark):
 
 
 def test_known_sizes(spark):
-    counts = QUERIES["stage_counts"](spark, SF).first()
+    counts = QUERIES["stage_counts"](spark, "/root/testdata/sf0.01").first()
     assert (counts.raw_rows, counts.deduplicated_rows, counts.valid_rows, counts.aggregated_rows) == (
         10_500,
         10_000,

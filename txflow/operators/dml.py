@@ -75,7 +75,7 @@ def apply_merge(
             target.alias("_tgt").join(flagged, on, "left"), columns, F.col("_in_source").isNotNull()
         )
         matched = target.select(*keys).join(F.broadcast(keyed.select(*keys)), keys, "left_semi").distinct()
-        return updated.unionByName(source.join(matched, keys, "left_anti"))
+        return updated.unionByName(source.join(F.broadcast(matched), keys, "left_anti"))
 
     loose = target.filter(~keys_present(keys)).unionByName(source.filter(~keys_present(keys)))
     target = target.filter(keys_present(keys))
