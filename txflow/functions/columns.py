@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +54,11 @@ def scaled(amount: Column, factor: str = "1.01") -> Column:
     return F.round(amount * F.lit(factor).cast("decimal(9,4)"), 2)
 
 
+def instant(moment: datetime) -> Column:
+    """A timestamp literal; without an offset it is read in the session time zone, not the machine's."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp")
+
+
 def days_before(day: Column, n: Column | int) -> Column:
     return F.date_sub(day, n)
 

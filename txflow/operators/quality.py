@@ -10,6 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txflow.functions import columns as fx
 from txflow.operators.cleanse import is_positive
 
 log = logging.getLogger("txflow")
@@ -92,7 +93,7 @@ def profile_amounts(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
     Ids are pre-aggregated with their counters, so the exact distinct count needs no second pass.
     """
     amount = F.col("amount")
-    future = F.lit(False) if as_of is None else F.col("timestamp") > F.lit(as_of)
+    future = F.lit(False) if as_of is None else F.col("timestamp") > fx.instant(as_of)
     per_id = df.groupBy("transaction_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(is_positive(df)).alias("positive"),
@@ -116,7 +117,7 @@ def profile_amounts(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
 
 def range_violations(df: DataFrame, as_of: datetime) -> DataFrame:
     """Rows of a cleansed frame that break a stated invariant: amount above 0, no future time."""
-    return df.filter(~F.coalesce(is_positive(df), F.lit(False)) | (F.col("timestamp") > F.lit(as_of)))
+    return df.filter(~F.coalesce(is_positive(df), F.lit(False)) | (F.col("timestamp") > fx.instant(as_of)))
 
 
 def run_report(spark: SparkSession, **fields: object) -> DataFrame:

@@ -23,7 +23,7 @@ def _cents(low: int, high: int, *parts: Column | int | str) -> Column:
 
 def _time_back(as_of: datetime, days_back: int, row: Column, salt: str, seed: int) -> Column:
     draw = lambda bound, unit: fx.hash_draw(bound, row, salt + unit, seed).cast("int")
-    return fx.time_before(F.lit(as_of), draw(days_back + 1, "d"), draw(24, "h"), draw(60, "m"), draw(60, "s"))
+    return fx.time_before(fx.instant(as_of), draw(days_back + 1, "d"), draw(24, "h"), draw(60, "m"), draw(60, "s"))
 
 
 def generate_transactions(
