@@ -8,9 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from txflow.plans import catalog
 
 SF = os.environ.get("TXFLOW_TEST_SF", "/root/testdata/sf0.01")
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLE = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
