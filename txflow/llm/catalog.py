@@ -6,20 +6,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txflow.llm import quality
+from txflow.llm import bpe, licenses, lines, quality
 from txflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the public tokenizer files of this machine lie."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence scan over all documents."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoding and decoding of all documents."""
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first quality rules over all documents."""
     return quality.op8_quality(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line dedup over all documents."""
+    return lines.op9_line_dedup(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op8_quality,)}
+    return {q.__name__: q for q in (op2_licenses, op3_bpe, op8_quality, op9_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_quality": quality.SQL}
+    return {"op2_licenses": licenses.SQL, "op8_quality": quality.SQL, "op9_line_dedup": lines.SQL}
