@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txflow.llm import bpe, licenses, lines, quality
+from txflow.llm import bpe, imatch, licenses, lines, quality, simhash
 from txflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-Match fingerprints of all documents, their edited texts and their successors."""
+    return imatch.compare_edited(table(spark, sf_dir, "documents"))
+
+
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence scan over all documents."""
     return licenses.scan(table(spark, sf_dir, "documents"))
@@ -29,6 +34,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash near-duplicate components of all documents."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first quality rules over all documents."""
     return quality.op8_quality(table(spark, sf_dir, "documents"))
@@ -40,7 +50,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op2_licenses, op3_bpe, op8_quality, op9_line_dedup)}
+    return {q.__name__: q for q in (op1_imatch, op2_licenses, op3_bpe, op6_simhash, op8_quality, op9_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
