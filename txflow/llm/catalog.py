@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txflow.llm import bpe, imatch, licenses, lines, quality, simhash
+from txflow.llm import bpe, imatch, licenses, lines, mixing, quality, simhash, toxicity
 from txflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors and mixing rates of all documents."""
+    return mixing.op5_mixing(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate components of all documents."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -49,8 +54,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.op9_line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity chain over all documents."""
+    return toxicity.op10_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_imatch, op2_licenses, op3_bpe, op6_simhash, op8_quality, op9_line_dedup)}
+    return {q.__name__: q for q in (op1_imatch, op2_licenses, op3_bpe, op5_mixing, op6_simhash, op8_quality, op9_line_dedup, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
