@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txflow.llm import bpe, imatch, licenses, lines, mixing, quality, simhash, toxicity
+from txflow.llm import bpe, imatch, licenses, lines, mixing, quality, simhash, toxicity, warc
 from txflow.llm.common import table
+from txflow.sources.storage import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +45,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC archives in the shared folder, read back."""
+    return warc.op7_warc(table(spark, sf_dir, "pages"), fresh_dir(spark, "warc"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first quality rules over all documents."""
     return quality.op8_quality(table(spark, sf_dir, "documents"))
@@ -60,8 +66,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_imatch, op2_licenses, op3_bpe, op5_mixing, op6_simhash, op8_quality, op9_line_dedup, op10_toxicity)}
+    return {q.__name__: q for q in (op1_imatch, op2_licenses, op3_bpe, op5_mixing, op6_simhash, op7_warc, op8_quality, op9_line_dedup, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_licenses": licenses.SQL, "op8_quality": quality.SQL, "op9_line_dedup": lines.SQL}
+    return {"op2_licenses": licenses.SQL, "op7_warc": warc.SQL, "op8_quality": quality.SQL, "op9_line_dedup": lines.SQL}
