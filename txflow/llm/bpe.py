@@ -269,6 +269,13 @@ def loaded(path: str) -> WordBpe:
     return _LOADED[path]
 
 
+def public_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the public tokenizer file of this machine lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def digests(coder: WordBpe, text: str) -> tuple[int, str, str, str]:
     """Number of ids, and SHA-256 of the ids, of the library's decoding and of the plain text, in one pass."""
     ids_sha, decoded_sha, plain_sha = hashlib.sha256(), hashlib.sha256(), hashlib.sha256()

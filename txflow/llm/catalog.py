@@ -4,22 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from txflow.llm import bpe, imatch, licenses, lines, mixing, quality, simhash, toxicity, warc
+from txflow.llm import bpe, imatch, licenses, lines, lm, mixing, quality, simhash, toxicity, warc
 from txflow.llm.common import table
 from txflow.sources.storage import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
-    """Where the public tokenizer files of this machine lie."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I-Match fingerprints of all documents, their edited texts and their successors."""
     return imatch.compare_edited(table(spark, sf_dir, "documents"))
@@ -32,7 +26,12 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoding and decoding of all documents."""
-    return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), bpe.public_path())
+
+
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LM scores of all documents."""
+    return lm.score(table(spark, sf_dir, "documents"))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,8 +64,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op10_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+OPERATORS = (
+    op1_imatch,
+    op2_licenses,
+    op3_bpe,
+    op4_lm,
+    op5_mixing,
+    op6_simhash,
+    op7_warc,
+    op8_quality,
+    op9_line_dedup,
+    op10_toxicity,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_imatch, op2_licenses, op3_bpe, op5_mixing, op6_simhash, op7_warc, op8_quality, op9_line_dedup, op10_toxicity)}
+    return {q.__name__: q for q in OPERATORS} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
