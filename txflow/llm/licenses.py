@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from math import ceil, floor
 
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -71,7 +72,7 @@ def size_bounds(n: int, threshold: float) -> tuple[int, int]:
     The common bigrams are no more than the smaller set, so 2 min / (min + max) >= threshold.
     """
     ratio = threshold / (2 - threshold)
-    return max(1, -int(-n * ratio // 1)), int(n / ratio + 1e-9)
+    return max(1, ceil(n * ratio - 1e-9)), floor(n / ratio + 1e-9)
 
 
 def _templates(templates, threshold):

@@ -39,8 +39,8 @@ class Shape:
     suffix: int = 3
     width: int = 24
     noise: int = 48
-    batch: int = 2048
-    rate: float = 0.15
+    batch: int = 1024
+    rate: float = 0.05
     rounds: tuple[int, ...] = (1, 9)
 
     @property
@@ -229,7 +229,7 @@ class Trainer:
         self.log_noise = np.log(self.shape.noise * self.noise).astype(np.float32)
         self.cdf = np.cumsum(self.noise)
         self.w = Weights(*(x.copy() for x in (start.r1, start.r2, start.q, start.b)))
-        self.sums = [np.full(x.shape, 1e-3, np.float32) for x in (self.w.r1, self.w.r2, self.w.q, self.w.b)]
+        self.sums = [np.full(x.shape, 1e-7, np.float32) for x in (self.w.r1, self.w.r2, self.w.q, self.w.b)]
         self.draw, self.tokens = np.random.default_rng(SEED), 0
 
     def step(self, a: np.ndarray, b: np.ndarray, y: np.ndarray) -> None:

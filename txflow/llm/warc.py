@@ -219,16 +219,18 @@ class Stream:
 
     def __init__(self, source, piece: int = 1 << 18):
         self.source, self.piece, self.held, self.machine = source, piece, bytearray(), zlib.decompressobj(31)
-        self.ended = False
+        self.fed = False
 
     def _more(self) -> bool:
         data = self.machine.unused_data if self.machine.eof else b""
         if self.machine.eof:
-            self.machine = zlib.decompressobj(31)
+            self.machine, self.fed = zlib.decompressobj(31), False
         data = data or self.source.read(self.piece)
         if not data:
-            self.ended = True
+            if self.fed:
+                raise ValueError("the archive ends within a gzip member")
             return False
+        self.fed = True
         self.held += self.machine.decompress(data)
         return True
 
