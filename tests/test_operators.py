@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txflow.functions import columns as fx
-from txflow.operators import cleanse, dml, quality, rollup, skew, upsert
+from txflow.operators import cleanse, dml, quality, rollup, upsert
 from txflow.operators.dedup import dedupe, duplicate_keys
 from txflow.plans import daily
 from txflow.plans.fixtures import dirty_tx
@@ -213,38 +213,58 @@ MERGED = [("a", D("10")), ("a", D("10")), ("b", D("3")), ("hot", D("50")), ("hot
 MERGED = sorted([*MERGED, (None, D("4")), (None, D("8"))], key=key)
 
 
-@pytest.mark.parametrize("route", ["small", "shuffle", "hot"])
-def test_merge_routes_agree(spark, route):
-    target, source = kv(spark, *TARGET), kv(spark, *SOURCE)
-    hot = skew.frequent_keys(target, ["k"], fraction=1.0, min_rows=2) if route == "hot" else None
-    if route == "hot":
-        assert rows_of(hot) == [("a",), ("hot",)]
-    out = dml.apply_merge(target, source, ["k"], small_source=route == "small", hot=hot)
-    assert rows_of(out) == MERGED
+def test_merge(spark):
+    assert rows_of(dml.apply_merge(kv(spark, *TARGET), kv(spark, *SOURCE), ["k"])) == MERGED
 
 
 def test_merge_plans(spark):
-    """A small source leaves the target unshuffled; frequent keys stay out of the shuffle of a large one."""
+    """No full outer join, which could not be split; a source below Spark's own threshold leaves the target unshuffled."""
     path = spark.conf.get("spark.checkpoint.dir") + "/merge-plan"
     kv(spark, *TARGET).write.mode("overwrite").parquet(path)
-    target, source = spark.read.parquet(path), kv(spark, *SOURCE)
-    hot = skew.frequent_keys(target, ["k"], fraction=1.0, min_rows=2)
+    kv(spark, *SOURCE).write.mode("overwrite").parquet(f"{path}-source")
+    target, source = spark.read.parquet(path), spark.read.parquet(f"{path}-source")
+    plan = lambda: dml.apply_merge(target, source, ["k"])._jdf.queryExecution().executedPlan().toString()
+    small = plan()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small = dml.apply_merge(target, source, ["k"], small_source=True)
-        large = dml.apply_merge(target, source, ["k"], hot=hot)
-        small, large = (df._jdf.queryExecution().executedPlan().toString() for df in (small, large))
+        large = plan()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" not in small and small.count("BroadcastHashJoin") == 3
-    assert large.count("SortMergeJoin") == 1 and "FullOuter" in large and "LeftAnti, BuildRight" in large
+    assert "SortMergeJoin" not in small
+    assert large.count("SortMergeJoin") == 2 and "FullOuter" not in large
+    assert "LeftOuter" in large and "LeftAnti" in large
+
+
+def test_merge_skew_is_split(spark):
+    """More than a thousand frequent keys, one of them with a third of all rows: AQE splits the target's side."""
+    n = 60_000
+    key = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 1500).cast("string")
+    target = spark.range(n).select(key.alias("k"), F.col("id").cast("decimal(18,2)").alias("v"))
+    source = spark.range(1500).select(F.col("id").cast("string").alias("k"), F.lit(-1).cast("decimal(18,2)").alias("v"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = dml.apply_merge(target, source, ["k"])
+        assert out.filter("v = -1").count() == n + 499 == out.count()  # source keys that no row has are inserted
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert "SortMergeJoin(skew=true)" in plan
 
 
 def test_merge_with_nothing_and_into_nothing(spark):
     target, none = kv(spark, *TARGET), kv(spark, ("x", D("1"))).filter("false")
-    for small in (True, False):
-        assert rows_of(dml.apply_merge(target, none, ["k"], small_source=small)) == rows_of(target)
-        assert rows_of(dml.apply_merge(none, target, ["k"], small_source=small)) == rows_of(target)
+    assert rows_of(dml.apply_merge(target, none, ["k"])) == rows_of(target)
+    assert rows_of(dml.apply_merge(none, target, ["k"])) == rows_of(target)
 
 
 def test_merge_against_brute_force(spark):
@@ -254,26 +274,36 @@ def test_merge_against_brute_force(spark):
     expected = [(k, by_key.get(k, v)) for k, v in target]
     expected += [(k, v) for k, v in source if k not in {k for k, _ in target}]
     t, s = kv(spark, *target).repartition(5), kv(spark, *source)
-    hot = skew.frequent_keys(t, ["k"], fraction=1.0, min_rows=100, limit=1)
-    assert rows_of(hot) == [("k3",)]
-    for out in (
-        dml.apply_merge(t, s, ["k"], hot=hot),
-        dml.apply_merge(t, s, ["k"]),
-        dml.apply_merge(t, s, ["k"], small_source=True),
-    ):
-        assert rows_of(out) == sorted(expected)
+    assert rows_of(dml.apply_merge(t, s, ["k"])) == sorted(expected)
     counts = dml.merge_change_counts(t, s, ["k"]).first()
     assert counts.rows_updated == sum(k in by_key for k, _ in target)
     assert counts.rows_inserted == sum(k not in {k for k, _ in target} for k, _ in source)
 
 
-def test_semi_join_routes(spark):
-    t, s = kv(spark, *TARGET), kv(spark, *SOURCE)
-    hot = skew.frequent_keys(t, ["k"], fraction=1.0, min_rows=2)
-    expected = [r for r in sorted(TARGET, key=key) if r[0] in ("a", "hot")]
-    assert rows_of(skew.semi_join_unique(t, s, ["k"], hot)) == expected
-    assert rows_of(skew.semi_join_unique(t, s, ["k"], None)) == expected
-    assert skew.frequent_keys(t, ["k"], fraction=1.0, min_rows=3) is None
+def test_diff_with_null_keys(spark):
+    a = kv(spark, (None, D("1")), (None, D("1")), (None, D("2")), ("a", D("5")))
+    b = kv(spark, (None, D("2")), (None, D("3")), ("a", D("6")))
+    assert rows_of(dml.diff_keyed(a, b, ["k"])) == sorted(
+        [("a", "changed", D("5"), D("6")), (None, "removed", D("1"), None), (None, "removed", D("1"), None), (None, "added", None, D("3"))],
+        key=key,
+    )
+
+
+def test_infinity_is_not_valid(spark):
+    df = spark.createDataFrame([(float("inf"),), (float("-inf"),), (float("nan"),), (1.0,), (None,)], "amount double")
+    assert [r.amount for r in cleanse.valid_rows(df).collect()] == [1.0]
+    named = df.selectExpr("'t' transaction_id", "'c' customer_id", "timestamp'2024-01-01' timestamp", "amount")
+    assert sorted(r.reject_reason for r in cleanse.rejects(named).collect()) == [
+        "infinite_amount", "infinite_amount", "nan_amount", "null_amount"
+    ]
+
+
+def test_window_strategy_breaks_ties(spark):
+    rows = [("a", 1, "y", {"m": 2}), ("a", 1, "x", {"m": 2}), ("a", 1, "x", {"m": 1})]
+    for layout in (rows, rows[::-1]):
+        df = spark.createDataFrame(layout, "k string, t int, v string, m map<string,int>").repartition(3)
+        got = dedupe(df, ["k"], ["t"], strategy="window").collect()
+        assert [(r.v, r.m) for r in got] == [("x", {"m": 1})]
 
 
 def test_diff(spark):

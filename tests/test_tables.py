@@ -40,13 +40,14 @@ def totals(spark, *rows):
 # -- versioned -----------------------------------------------------------------
 
 
+_cast_like = dml.cast_like
+
+
 @pytest.mark.parametrize("partition_by", [None, BY_DAY])
 @pytest.mark.parametrize("large_source", [False, True])
 def test_walkthrough_equals_pure_functions(spark, root, monkeypatch, partition_by, large_source):
     if large_source:
-        monkeypatch.setattr(storage, "BROADCAST_BYTES", 0)
-        hot = versioned.frequent_keys
-        monkeypatch.setattr(versioned, "frequent_keys", lambda df, keys: hot(df, keys, fraction=1.0, min_rows=2, limit=9))
+        monkeypatch.setattr(dml, "cast_like", lambda df, target: _cast_like(df, target).hint("merge"))
     v0 = dirty_tx(spark, SF)
     hit = F.col("customer_id") == "C00001"
     raised = {"amount": fx.scaled(F.col("amount"))}
@@ -256,3 +257,26 @@ def test_audit_table(spark, root):
     assert table.count() == 1000
     assert table.read().dtypes == [(f.name, f.dataType.simpleString()) for f in AUDIT_TRANSACTIONS]
     assert len(table.table._commit_at().data_dirs) == 4
+
+
+def test_commit_only_onto_the_version_that_was_read(spark, root):
+    """Another writer commits between the read of the base and the replacement; its rows stay, the late commit fails."""
+    table = VersionedTable(spark, root)
+    table.overwrite(spark.createDataFrame([(1,)], "id int"))
+    base = table._commit_at()
+    other = VersionedTable(spark, root)
+    other.replace(spark.createDataFrame([(2,)], "id int"), [], "UPSERT")
+    with pytest.raises(versioned.ConcurrentCommitError):
+        table.replace(spark.createDataFrame([(3,)], "id int"), base.data_dirs, "UPSERT", base=base)
+    assert sorted(r.id for r in table.read().collect()) == [1, 2]
+
+
+def test_diff_over_a_schema_change(spark, root):
+    table = VersionedTable(spark, root)
+    table.overwrite(spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "id int, name string, old int"))
+    table.overwrite(spark.createDataFrame([(1, "a", 1.5), (2, "c", 2.5)], "id bigint, name string, new double"))
+    got = table.diff(0, 1, ["id"]).collect()
+    assert [(r.id, r.change, r.old_name, r.new_name) for r in got] == [("2", "changed", "b", "c")]
+    assert table.diff(0, 1).count() == 2
+    with pytest.raises(ValueError, match="old"):
+        table.diff(0, 1, ["old"])

@@ -4,60 +4,85 @@ from __future__ import annotations
 
 import argparse
 import logging
+import os
+from dataclasses import replace
 from datetime import date, datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txflow.config import FlowConfig
-from txflow.functions import columns as fx
 from txflow.plans.run import run_daily, run_incremental
-from txflow.schemas import RAW_TRANSACTIONS
-from txflow.sources.files import from_rows, write_sample_csv
+from txflow.sources.files import write_sample_csv
 from txflow.sources.generate import generate_daily_totals, generate_transactions, inject_issues
 from txflow.sources.keyed import KeyedTable
 from txflow.sources.versioned import VersionedTable
 from txflow.streaming.feed import run_available
 
 
+def _print(df: DataFrame) -> None:
+    """All rows, one JSON object a line, a partition at a time."""
+    for line in df.toJSON().toLocalIterator():
+        print(line)
+
+
 def generate(spark: SparkSession, args: argparse.Namespace) -> None:
     """Write dirty transactions as a new version of a table, and optionally a CSV sample."""
     clean = generate_transactions(spark, args.rows, args.as_of, seed=args.seed, customers=args.customers)
     table = VersionedTable(spark, args.table)
     table.overwrite(inject_issues(clean, args.rows, args.as_of, seed=args.seed))
-    table.history().select("version", "timestamp", "operation", "operationMetrics").show(truncate=False)
+    _print(table.history().select("version", "timestamp", "operation", "operationMetrics").limit(1))
     if args.sample_csv:
         write_sample_csv(table.read(), args.sample_csv)
 
 
+def _config(args: argparse.Namespace) -> FlowConfig:
+    """The options given, on top of the environment where it names a source and a target."""
+    given = {k: v for k, v in vars(args).items() if k in FlowConfig.__dataclass_fields__ and v is not None}
+    environment = {f"TXFLOW_{k.upper()}": v for k, v in given.items() if k in ("source", "target")}
+    return replace(FlowConfig.from_env(os.environ | environment), **given)
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     """Full run: source to daily totals, with gates and report."""
-    config = FlowConfig(args.source, args.target, quarantine=args.quarantine, min_result_rows=args.min_rows)
-    run_daily(spark, config).show(truncate=False)
+    _print(run_daily(spark, _config(args)))
 
 
 def incremental(spark: SparkSession, args: argparse.Namespace) -> None:
     """Incremental run over one folder of newly arrived rows."""
-    config = FlowConfig(args.source, args.target, survivors=args.survivors, min_result_rows=args.min_rows)
-    run_incremental(spark, spark.read.parquet(args.source), config, args.batch_id).show(truncate=False)
+    config = _config(args)
+    _print(run_incremental(spark, spark.read.parquet(config.source), config, args.batch_id))
 
 
 def feed(spark: SparkSession, args: argparse.Namespace) -> None:
     """Incremental runs over all files that arrived since the last call."""
-    config = FlowConfig(args.source, args.target, survivors=args.survivors, min_result_rows=args.min_rows)
-    run_available(spark, config, args.checkpoint)
+    run_available(spark, _config(args), args.checkpoint)
 
 
-def versions(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Walk through history, time travel, update, delete, merge and vacuum on a transactions table."""
-    table = VersionedTable(spark, args.table)
-    print(f"latest: {table.read().count()} rows, version 0: {table.read(0).count()} rows")
-    table.update(F.col("customer_id") == "C00001", {"amount": fx.scaled(F.col("amount"))})
-    table.delete(F.col("amount") < 0)
-    row = ("UPSERT-001", "C00001", 999.99, datetime.now(timezone.utc), "DEMO_STORE")
-    table.merge(from_rows(spark, [row], RAW_TRANSACTIONS.names), ["transaction_id"])
-    table.history().select("version", "timestamp", "operation", "operationMetrics").show(truncate=False)
-    table.vacuum(args.hours, dry_run=True).show(truncate=False)
+def history(spark: SparkSession, args: argparse.Namespace) -> None:
+    """All versions of a table, newest first."""
+    _print(VersionedTable(spark, args.table).history())
+
+
+def update(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Set columns of the rows that meet a condition; assignments are column=expression."""
+    parts = [x.split("=", 1) for x in args.assign]
+    VersionedTable(spark, args.table).update(F.expr(args.where), {c.strip(): F.expr(e) for c, e in parts})
+
+
+def delete(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Drop the rows that meet a condition."""
+    VersionedTable(spark, args.table).delete(F.expr(args.where))
+
+
+def merge(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Update and insert by key from a Parquet folder."""
+    VersionedTable(spark, args.table).merge(spark.read.parquet(args.source), args.keys.split(","))
+
+
+def vacuum(spark: SparkSession, args: argparse.Namespace) -> None:
+    """List the data folders that no recent version uses; --apply removes them."""
+    _print(VersionedTable(spark, args.table).vacuum(args.hours, dry_run=not args.apply))
 
 
 def sample_totals(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -65,13 +90,13 @@ def sample_totals(spark: SparkSession, args: argparse.Namespace) -> None:
     table = KeyedTable.daily_totals(spark, args.target)
     table.upsert(generate_daily_totals(spark, args.as_of.date(), customers=args.customers, days=args.days))
     print(f"{table.count()} rows")
-    table.sample(10).show(truncate=False)
+    _print(table.sample(10))
 
 
 def lookup(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Show one customer's totals, newest first."""
+    """All totals of one customer in the range of dates asked for, newest first."""
     table = KeyedTable.daily_totals(spark, args.target)
-    table.lookup(args.customer, args.since, args.until, newest_first=True).show(args.limit, truncate=False)
+    _print(table.lookup(args.customer, args.since, args.until, newest_first=True))
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -96,15 +121,21 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--seed", type=int, default=42)
     c.add_argument("--as-of", type=moment, default=now)
     c.add_argument("--sample-csv")
-    c = command(run, "source", "target")
-    c.add_argument("--quarantine")
-    c.add_argument("--min-rows", type=int, default=10)
-    c = command(incremental, "source", "target", "survivors", "batch-id")
-    c.add_argument("--min-rows", type=int, default=10)
-    c = command(feed, "source", "target", "survivors", "checkpoint")
-    c.add_argument("--min-rows", type=int, default=10)
-    c = command(versions, "table")
+    for function, required in ((run, ()), (incremental, ("batch-id",)), (feed, ("checkpoint",))):
+        c = command(function, *required)
+        for option in ("source", "target", "survivors", "quarantine"):
+            c.add_argument(f"--{option}")
+        c.add_argument("--min-rows", type=int, dest="min_result_rows")
+        c.add_argument("--min-source-rows", type=int)
+        c.add_argument("--validate-first", action="store_true", default=None)
+    command(history, "table")
+    c = command(update, "table", "where")
+    c.add_argument("assign", nargs="+")
+    command(delete, "table", "where")
+    command(merge, "table", "source", "keys")
+    c = command(vacuum, "table")
     c.add_argument("--hours", type=float, default=168)
+    c.add_argument("--apply", action="store_true")
     c = command(sample_totals, "target")
     c.add_argument("--customers", type=int, default=1000)
     c.add_argument("--days", type=int, default=7)
@@ -112,7 +143,6 @@ def _parser() -> argparse.ArgumentParser:
     c = command(lookup, "target", "customer")
     c.add_argument("--since", type=date.fromisoformat)
     c.add_argument("--until", type=date.fromisoformat)
-    c.add_argument("--limit", type=int, default=30)
     return parser
 
 

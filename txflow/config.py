@@ -32,7 +32,9 @@ class FlowConfig:
             target=env["TXFLOW_TARGET"],
             survivors=env.get("TXFLOW_SURVIVORS"),
             quarantine=env.get("TXFLOW_QUARANTINE"),
+            min_source_rows=int(env.get("TXFLOW_MIN_SOURCE_ROWS", "1")),
             min_result_rows=int(env.get("TXFLOW_MIN_ROWS", "10")),
+            validate_first=env.get("TXFLOW_VALIDATE_FIRST", "").lower() in ("1", "true", "yes"),
         )
 
 
@@ -48,7 +50,7 @@ def spark_settings(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.ansi.enabled": "true",
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str((128 if input_bytes < 10**12 else 256) * MIB),
+        "spark.sql.files.maxPartitionBytes": str(128 * MIB),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),

@@ -17,10 +17,10 @@ def has_keys() -> Column:
 
 
 def is_positive(df: DataFrame, amount: str = "amount") -> Column:
-    """``amount > 0``, never true for NaN (which Spark orders above every number)."""
+    """``amount > 0``, never true for NaN (which Spark orders above every number) or infinity."""
     value = F.col(amount)
     if is_floating(df.schema[amount].dataType):
-        return (value > 0) & ~F.isnan(value)
+        return (value > 0) & ~F.isnan(value) & (value != float("inf"))
     return value > 0
 
 
@@ -44,7 +44,7 @@ def with_reject_reason(df: DataFrame, amount: str = "amount") -> DataFrame:
     reason = reason.when(F.col("timestamp").isNull(), "null_timestamp")
     reason = reason.when(value.isNull(), "null_amount")
     if is_floating(df.schema[amount].dataType):
-        reason = reason.when(F.isnan(value), "nan_amount")
+        reason = reason.when(F.isnan(value), "nan_amount").when(F.abs(value) == float("inf"), "infinite_amount")
     reason = reason.when(value == 0, "zero_amount").when(value < 0, "negative_amount")
     return df.withColumn("reject_reason", reason)
 

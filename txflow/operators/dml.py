@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txflow.operators.skew import keys_present, split_by_keys
+
+
+def keys_present(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
 def is_true(condition: Column) -> Column:
@@ -47,56 +51,24 @@ def _replace_matched(joined: DataFrame, columns: Sequence[str], in_source: Colum
     )
 
 
-def apply_merge(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    *,
-    small_source: bool = False,
-    hot: DataFrame | None = None,
-) -> DataFrame:
+def apply_merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Matched target rows take the source row; unmatched source rows are inserted.
 
-    ``source`` holds each non-NULL key once; ``target`` may repeat keys, and every copy is
-    replaced. NULL keys match nothing. ``small_source`` states that the caller has checked
-    the size of the source: it is broadcast and the target is not shuffled at all.
-    Otherwise both sides are shuffled, except for the target's frequent keys ``hot``
-    (see ``skew.frequent_keys``; all of them occur in the target), which are joined
-    with their few source rows by broadcast.
+    ``source`` holds each non-NULL key once; ``target`` may repeat keys, and every copy is replaced. NULL keys match
+    nothing and are not joined. The target stands on the left of a left join, which AQE can split where a key is
+    frequent, and its distinct keys, counted partially in the map tasks, decide which source rows are new. Whether a
+    side is broadcast is left to Spark's own threshold and measured sizes.
     """
     keys = list(keys)
     columns = target.columns
     source = cast_like(source, target)
-    keyed = source.filter(keys_present(keys))
-    if small_source:
-        flagged = F.broadcast(keyed.withColumn("_in_source", F.lit(True))).alias("_src")
-        on = [F.col(f"_tgt.{k}") == F.col(f"_src.{k}") for k in keys]
-        updated = _replace_matched(
-            target.alias("_tgt").join(flagged, on, "left"), columns, F.col("_in_source").isNotNull()
-        )
-        matched = target.select(*keys).join(F.broadcast(keyed.select(*keys)), keys, "left_semi").distinct()
-        return updated.unionByName(source.join(F.broadcast(matched), keys, "left_anti"))
-
-    loose = target.filter(~keys_present(keys)).unionByName(source.filter(~keys_present(keys)))
-    target = target.filter(keys_present(keys))
-    parts = []
-    if hot is not None:
-        target_hot, target = split_by_keys(target, keys, hot)
-        keyed_hot, keyed = split_by_keys(keyed, keys, hot)
-        flagged = F.broadcast(keyed_hot.withColumn("_in_source", F.lit(True))).alias("_src")
-        on = [F.col(f"_tgt.{k}") == F.col(f"_src.{k}") for k in keys]
-        parts.append(
-            _replace_matched(
-                target_hot.alias("_tgt").join(flagged, on, "left"), columns, F.col("_in_source").isNotNull()
-            )
-        )
-    flagged = keyed.withColumn("_in_source", F.lit(True)).alias("_src")
+    present = target.filter(keys_present(keys))
+    flagged = source.filter(keys_present(keys)).withColumn("_in_source", F.lit(True)).alias("_src")
     on = [F.col(f"_tgt.{k}") == F.col(f"_src.{k}") for k in keys]
-    joined = target.alias("_tgt").join(flagged, on, "full_outer")
-    parts.append(_replace_matched(joined, columns, F.col("_in_source").isNotNull()))
-    for part in parts:
-        loose = loose.unionByName(part)
-    return loose
+    joined = present.alias("_tgt").join(flagged, on, "left")
+    updated = _replace_matched(joined, columns, F.col("_in_source").isNotNull())
+    fresh = source.join(present.select(*keys).distinct(), keys, "left_anti").select(*columns)
+    return updated.unionByName(target.filter(~keys_present(keys))).unionByName(fresh)
 
 
 def merge_change_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -120,9 +92,12 @@ def diff_keyed(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Data
     """Added, removed and changed keys with both rows; a key that repeats on one side raises.
 
     Both sides are stacked and grouped by key, so a repeated key collapses into counters
-    instead of producing pairs.
+    instead of producing pairs. Rows with a NULL key have no identity: they are compared as
+    whole rows and can only be added or removed.
     """
     keys = list(keys)
+    loose = diff_rows(before.filter(~keys_present(keys)), after.filter(~keys_present(keys)))
+    before, after = before.filter(keys_present(keys)), after.filter(keys_present(keys))
     values = [c for c in before.columns if c not in keys]
     stacked = before.select(*keys, F.struct(*values).alias("_old"), F.lit(None).alias("_new")).unionByName(
         after.select(*keys, F.lit(None).alias("_old"), F.struct(*values).alias("_new"))
@@ -140,16 +115,21 @@ def diff_keyed(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Data
         .when(F.col("_n_new") == 0, "removed")
         .when(~F.col("_old").eqNullSafe(F.col("_new")), "changed")
     )
-    return (
-        grouped.withColumn("change", change)
-        .filter("change is not null")
-        .select(
-            *keys,
-            "change",
-            *[F.col("_old")[c].alias(f"old_{c}") for c in values],
-            *[F.col("_new")[c].alias(f"new_{c}") for c in values],
-        )
+    found = grouped.withColumn("change", change).filter("change is not null")
+    found = found.select(
+        *keys,
+        "change",
+        *[F.col("_old")[c].alias(f"old_{c}") for c in values],
+        *[F.col("_new")[c].alias(f"new_{c}") for c in values],
+    )
+    each = loose.select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
+    nameless = each.select(
+        *keys,
+        "change",
+        *[F.when(F.col("change") == "removed", F.col(c)).alias(f"old_{c}") for c in values],
+        *[F.when(F.col("change") == "added", F.col(c)).alias(f"new_{c}") for c in values],
     )
+    return found.unionByName(nameless)
 
 
 def diff_rows(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -14,9 +14,10 @@ from txflow.operators import cleanse, dml, quality, rollup, upsert
 from txflow.operators.dedup import dedupe, duplicate_keys
 from txflow.plans import daily
 from txflow.plans.fixtures import copies, dirty_tx, load, originals
-from txflow.plans.run import ROW_ORDER, run_incremental
-from txflow.schemas import MONEY
-from txflow.sources import storage
+from txflow.plans import run as runs
+from txflow.plans.run import ROW_ORDER, check_session, quarantined, run_daily, run_incremental
+from txflow.schemas import MONEY, RAW_TRANSACTIONS, conform
+from txflow.sources import files, storage
 from txflow.sources.keyed import KeyedTable
 from txflow.sources.versioned import VersionedTable
 
@@ -101,7 +102,7 @@ TX, FIRST, TOTALS = _with(_B), _with(_B, _FIRST), _with(_B, _FIRST, _TOTALS)
 def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            check_session(spark)
             return fn(spark, sf_dir)
 
         _QUERIES[name] = run
@@ -689,3 +690,194 @@ def _(spark, sf):
     run_incremental(spark, early, config, "first")
     run_incremental(spark, originals(spark, sf).filter(late), config, "second")
     return KeyedTable.daily_totals(spark, config.target).read()
+
+
+class _Interrupted(Exception):
+    pass
+
+
+def _stop(*args, **kwargs):
+    raise _Interrupted
+
+
+def _interrupted(spark: SparkSession, batch: DataFrame, config: FlowConfig, batch_id: str, at: str) -> None:
+    """Run a batch that stops before it is applied, or between the commits to its two tables."""
+    owner, name = (runs, "_apply_batch") if at == "stage" else (KeyedTable, "upsert")
+    kept = getattr(owner, name)
+    setattr(owner, name, _stop)
+    try:
+        run_incremental(spark, batch, config, batch_id)
+    except _Interrupted:
+        pass
+    finally:
+        setattr(owner, name, kept)
+
+
+def _resumed(spark: SparkSession, sf: str, at: str) -> DataFrame:
+    root = storage.fresh_dir(spark, "resumed")
+    config = FlowConfig(source="", target=f"{root}/totals", survivors=f"{root}/survivors", min_result_rows=1)
+    late = F.col("merchant") == "purchase"
+    a = originals(spark, sf).filter(~late).unionByName(copies(spark, sf))
+    _interrupted(spark, a, config, "a", at)
+    run_incremental(spark, originals(spark, sf).filter(late), config, "b")
+    run_incremental(spark, a, config, "a")
+    return KeyedTable.daily_totals(spark, config.target).read()
+
+
+@_query("incremental_resume_after_other_batch", TOTALS + "select * from totals")
+def _(spark, sf):
+    """A batch is staged and stops, another one runs, and the first is called again."""
+    return _resumed(spark, sf, "stage")
+
+
+@_query("incremental_resume_between_commits", TOTALS + "select * from totals")
+def _(spark, sf):
+    """As above, but the first batch stops after its survivors were committed and before its totals were."""
+    return _resumed(spark, sf, "commit")
+
+
+_VALID_FIRST = """
+  valid_first as (
+    select transaction_id, customer_id, amount, "timestamp", merchant
+    from (select *, row_number() over (partition by transaction_id
+                                       order by "timestamp", customer_id, amount, merchant) as rn
+          from dirty_tx where amount > 0)
+    where rn = 1),
+  valid_first_totals as (
+    select customer_id, "timestamp"::date as transaction_date,
+           sum(amount)::decimal(18,2) as daily_total, count(*)::bigint as transaction_count
+    from valid_first group by all)"""
+
+
+@_query("incremental_validate_first", _with(_B, _VALID_FIRST) + "select * from valid_first_totals")
+def _(spark, sf):
+    root = storage.fresh_dir(spark, "incremental")
+    config = FlowConfig("", f"{root}/totals", f"{root}/survivors", min_result_rows=1, validate_first=True)
+    run_incremental(spark, originals(spark, sf), config, "first")
+    run_incremental(spark, copies(spark, sf), config, "second")
+    return KeyedTable.daily_totals(spark, config.target).read()
+
+
+def _daily(spark: SparkSession, sf: str, validate_first: bool) -> tuple[DataFrame, str]:
+    """A full run over a stored source; the report and the folder of what was left out."""
+    root = storage.fresh_dir(spark, "daily")
+    dirty_tx(spark, sf).write.parquet(f"{root}/source")
+    config = FlowConfig(f"{root}/source", f"{root}/totals", quarantine=f"{root}/left-out", validate_first=validate_first)
+    return run_daily(spark, config, run_id="r"), f"{root}/left-out/run=r"
+
+
+@_query(
+    "run_daily_report",
+    TOTALS
+    + """
+select r.n as source_rows, 0::bigint as quarantined_rows, d.n as deduplicated_rows, v.n as valid_rows,
+       a.n as batch_keys, a.n as table_rows, 'pass' as status
+from (select count(*)::bigint as n from dirty_tx) r, (select count(*)::bigint as n from first_tx) d,
+     (select count(*)::bigint as n from first_tx where amount > 0) v, (select count(*)::bigint as n from totals) a""",
+)
+def _(spark, sf):
+    return _daily(spark, sf, False)[0].drop("run_id", "finished_at", "table_version")
+
+
+_LEFT_OUT = """
+select transaction_id, customer_id, amount, "timestamp", merchant,
+       case when amount is null then 'null_amount' when amount = 0 then 'zero_amount' else 'negative_amount' end
+         as reject_reason
+from first_tx f where not coalesce(amount > 0, false)"""
+
+
+def _left_out(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+@_query("run_daily_quarantine", FIRST + _LEFT_OUT)
+def _(spark, sf):
+    return _left_out(spark, _daily(spark, sf, False)[1])
+
+
+@_query(
+    "run_daily_quarantine_validate_first",
+    FIRST
+    + _LEFT_OUT
+    + """
+  and not exists (select 1 from dirty_tx t where t.transaction_id = f.transaction_id and t.amount > 0)""",
+)
+def _(spark, sf):
+    return _left_out(spark, _daily(spark, sf, True)[1])
+
+
+@_query(
+    "quarantined_by_reason",
+    FIRST + "select reject_reason, count(*)::bigint as row_count from (" + _LEFT_OUT + ") group by 1",
+)
+def _(spark, sf):
+    left_out = quarantined(conform(dirty_tx(spark, sf), RAW_TRANSACTIONS))
+    return left_out.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@_query("csv_round_trip", TX + "select * from dirty_tx")
+def _(spark, sf):
+    """The fixture as CSV files and back; a refused row would be missing."""
+    path = storage.fresh_dir(spark, "csv")
+    files.write_csv(conform(dirty_tx(spark, sf), RAW_TRANSACTIONS), path)
+    good, _ = files.read_transactions_csv(spark, path)
+    return good.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+@_query(
+    "csv_sample",
+    FIRST + "select * from (select * from first_tx order by transaction_id limit 20)",
+)
+def _(spark, sf):
+    """The sample file of the first 20 survivors, read back."""
+    path = storage.fresh_dir(spark, "csv-sample")
+    files.write_sample_csv(conform(daily_survivors(spark, sf), RAW_TRANSACTIONS), path)
+    good, _ = files.read_transactions_csv(spark, path)
+    return good.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+def daily_survivors(spark: SparkSession, sf: str) -> DataFrame:
+    return dedupe(dirty_tx(spark, sf), ["transaction_id"], ROW_ORDER)
+
+
+@_query(
+    "gate_source_empty",
+    TX + "select count(*)::bigint as row_count, 1::bigint as minimum, 'fail' as status from dirty_tx where amount > 1e12",
+)
+def _(spark, sf):
+    return quality.gate_status(dirty_tx(spark, sf).filter("amount > 1e12"), 1)
+
+
+@_query(
+    "gate_few_rows",
+    TOTALS
+    + """
+select count(*)::bigint as row_count, 1000000000::bigint as minimum,
+       case when count(*) >= 1000000000 then 'pass' else 'fail' end as status
+from totals""",
+)
+def _(spark, sf):
+    return quality.gate_status(daily.transform(dirty_tx(spark, sf)), 1_000_000_000)
+
+
+@_query(
+    "keyed_sample",
+    TOTALS + "select * from (select * from totals order by customer_id, transaction_date limit 10)",
+)
+def _(spark, sf):
+    return _stored_totals(spark, sf).sample(10)
+
+
+@_query(
+    "parse_timestamps",
+    TX
+    + """
+select transaction_id, case when merchant = 'purchase' then null else "timestamp" - interval 90 minutes end as parsed
+from dirty_tx""",
+)
+def _(spark, sf):
+    """Times written with an offset, and text that is no time."""
+    text = F.when(F.col("merchant") == "purchase", "no time").otherwise(
+        F.concat(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+01:30"))
+    )
+    return dirty_tx(spark, sf).select("transaction_id", fx.parse_ts(text).cast("timestamp_ntz").alias("parsed"))

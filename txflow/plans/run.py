@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from txflow.config import FlowConfig
 from txflow.operators import cleanse, quality, rollup
-from txflow.operators.dedup import dedupe
 from txflow.plans import daily
 from txflow.schemas import MONEY, RAW_TRANSACTIONS, assert_schema, conform
 from txflow.sources import storage
@@ -23,13 +22,14 @@ from txflow.sources.versioned import VersionedTable
 
 log = logging.getLogger("txflow")
 
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "Etc/UCT", "UCT", "Zulu", "Universal")
 ROW_ORDER = ["timestamp", "customer_id", "amount", "merchant"]
 
 
 def check_session(spark: SparkSession) -> None:
     """Days are cut in the session time zone, so it must be UTC."""
     zone = spark.conf.get("spark.sql.session.timeZone")
-    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+    if zone not in UTC_NAMES:
         raise ValueError(f"spark.sql.session.timeZone is {zone}; set it to UTC")
 
 
@@ -41,10 +41,21 @@ def read_source(spark: SparkSession, path: str, version: int | None = None) -> D
     return conform(df, RAW_TRANSACTIONS)
 
 
-def quarantined(raw: DataFrame) -> DataFrame:
-    """Rows the daily run leaves out, with a reason: rows without keys, and invalid survivors of dedup."""
-    keyless = cleanse.rejects(raw.filter(~cleanse.has_keys()))
-    survivors = dedupe(raw.filter(cleanse.has_keys()), ["transaction_id"], ROW_ORDER)
+def quarantined(raw: DataFrame, *, validate_first: bool = False) -> DataFrame:
+    """Rows the daily run leaves out, with a reason: rows without keys, and transactions without a valid survivor.
+
+    Such a transaction is listed with its earliest copy. With ``validate_first`` a later valid copy is the survivor,
+    so only transactions without any valid copy are listed.
+    """
+    usable = cleanse.has_keys()
+    keyless = cleanse.rejects(raw.filter(~usable))
+    valid = F.coalesce(cleanse.is_positive(raw), F.lit(False))
+    firsts = raw.filter(usable).groupBy("transaction_id").agg(
+        F.min(F.struct(*ROW_ORDER)).alias("_row"), F.bool_or(valid).alias("_any_valid")
+    )
+    if validate_first:
+        firsts = firsts.filter(~F.col("_any_valid"))
+    survivors = firsts.select(*[F.col(c) if c == "transaction_id" else F.col(f"_row.{c}").alias(c) for c in raw.columns])
     return keyless.unionByName(cleanse.rejects(survivors))
 
 
@@ -71,13 +82,14 @@ def run_daily(spark: SparkSession, config: FlowConfig, run_id: str | None = None
         version = table.upsert(batch, stored_at=stage.path)
         loaded = quality.assert_reconciled(batch, table.read_touching(batch), table.keys)
     if config.quarantine:
-        quarantined(raw).write.mode("errorifexists").parquet(f"{config.quarantine}/run={run_id}")
+        left_out = quarantined(raw, validate_first=config.validate_first)
+        left_out.write.mode("errorifexists").parquet(f"{config.quarantine}/run={run_id}")
     return _report(spark, run_id, table, version, counts, loaded, config.min_result_rows)
 
 
-def _report(spark, run_id, table, version, counts, loaded, minimum) -> DataFrame:
+def _report(spark, run_id, table, version, counts, loaded, minimum, severity: str = "error") -> DataFrame:
     rows = table.count()
-    gate = quality.gate_min_rows("table has enough rows", rows, minimum)
+    gate = quality.gate_min_rows("table has enough rows", rows, minimum, severity)
     return quality.run_report(
         spark,
         run_id=run_id,
@@ -103,16 +115,14 @@ def survivor_table(spark: SparkSession, root: str) -> VersionedTable:
     return table
 
 
-def changed_survivors(known: DataFrame, arrived: DataFrame, small: bool) -> DataFrame:
+def changed_survivors(known: DataFrame, arrived: DataFrame) -> DataFrame:
     """Transactions whose survivor is new or moves to an earlier copy, with the row that gives way.
 
-    ``known`` and ``arrived`` hold each id once. Where the arrivals are ``small``, the known
-    rows are cut down to the ids that arrived before anything is shuffled.
+    ``known`` and ``arrived`` hold each id once. Known rows are cut down to the ids that arrived first, which needs no
+    shuffle where the arrivals are small enough for Spark to broadcast, and shares its shuffle otherwise.
     """
     row = F.struct(*ROW_ORDER)
-    affected = known
-    if small:
-        affected = known.join(F.broadcast(arrived.select("transaction_id")), ["transaction_id"], "left_semi")
+    affected = known.join(arrived.select("transaction_id"), ["transaction_id"], "left_semi")
     old = affected.select("transaction_id", row.alias("_old"))
     joined = arrived.select("transaction_id", row.alias("_new")).join(old, ["transaction_id"], "left")
     wins = F.col("_old").isNull() | (F.col("_new") < F.col("_old"))
@@ -157,7 +167,13 @@ def run_incremental(spark: SparkSession, arrived: DataFrame, config: FlowConfig,
     adds it to another; keys left without transactions are deleted. All results are worked
     out and staged from the state before the batch, then applied. Both tables record
     ``batch_id``: a run that was interrupted continues from its stage, and a batch that was
-    applied already changes nothing.
+    applied already changes nothing. A batch that was staged and not finished is finished
+    before any other begins, so no result is applied to a state it does not belong to.
+
+    ``config.validate_first`` lets invalid copies take no part, and must be the same for all
+    batches of a pair of tables. Rows that the batch itself leaves out go to
+    ``config.quarantine`` before anything is applied. Row-count gates warn: a batch is small
+    by nature, and one that raised after being applied could never be followed by another.
     """
     check_session(spark)
     if not re.fullmatch(r"[A-Za-z0-9._-]+", batch_id):
@@ -166,54 +182,83 @@ def run_incremental(spark: SparkSession, arrived: DataFrame, config: FlowConfig,
         raise ValueError("an incremental run needs config.survivors")
     survivors = survivor_table(spark, config.survivors)
     totals = KeyedTable.daily_totals(spark, config.target)
+    stages = f"{config.target.rstrip('/')}/_stage"
+    for name, _, _ in sorted(storage.children(spark, stages)):
+        if name != batch_id and storage.exists(spark, f"{stages}/{name}/READY"):
+            log.info("finishing batch %s before %s", name, batch_id)
+            _apply_batch(spark, survivors, totals, f"{stages}/{name}", name, config)
+    counts, loaded = dict.fromkeys(("raw_rows", "quarantined_rows", "deduplicated_rows", "valid_rows"), 0), 0
     if not totals.table.has_tag(batch_id):
-        stage = f"{config.target.rstrip('/')}/_stage/{batch_id}"
+        stage = f"{stages}/{batch_id}"
         if not storage.exists(spark, f"{stage}/READY"):
             storage.delete(spark, stage)
-            _stage_batch(spark, conform(arrived, RAW_TRANSACTIONS), survivors, totals, stage)
-        changes = spark.read.parquet(f"{stage}/changes")
-        shifted = spark.read.parquet(f"{stage}/totals")
+            rows = conform(arrived, RAW_TRANSACTIONS)
+            if config.quarantine:
+                left_out = quarantined(rows, validate_first=config.validate_first)
+                left_out.write.mode("overwrite").parquet(f"{config.quarantine}/run={batch_id}")
+            _stage_firsts(spark, rows, stage, config.validate_first)
+            _stage_changes(spark, survivors, stage)
+        counts, loaded = _apply_batch(spark, survivors, totals, stage, batch_id, config)
+    version = totals.table.version()
+    return _report(spark, batch_id, totals, version, counts, loaded, config.min_result_rows, severity="warn")
+
+
+def _apply_batch(
+    spark: SparkSession, survivors: VersionedTable, totals: KeyedTable, stage: str, batch_id: str, config: FlowConfig
+) -> tuple[dict[str, int], int]:
+    """Apply a staged batch to both tables, whichever of them still lacks it.
+
+    Totals are shifted by the staged differences from what they are now. Differences that were worked out against an
+    older state of the survivors are worked out again from the staged arrivals.
+    """
+    counts = _arrival_counts(spark.read.parquet(f"{stage}/firsts"))
+    quality.gate_min_rows("source not empty", counts["raw_rows"], config.min_source_rows, "warn")
+    loaded = 0
+    if not totals.table.has_tag(batch_id):
+        ready = json.loads(storage.read_text(spark, f"{stage}/READY"))
         if not survivors.has_tag(batch_id):
-            rows = changes.select(*RAW_TRANSACTIONS.names)
-            ready = json.loads(storage.read_text(spark, f"{stage}/READY"))
-            within = ready["folders"] if ready["version"] == survivors.version() else None
-            survivors.merge(rows, ["transaction_id"], stored_at=f"{stage}/changes", within=within, tag=batch_id)
-        upserts, emptied = shifted.filter("transaction_count > 0"), shifted.filter("transaction_count = 0")
-        totals.upsert(upserts, deletes=emptied, stored_at=f"{stage}/totals", tag=batch_id)
-        loaded = quality.assert_reconciled(upserts, totals.read_touching(upserts), totals.keys)
-        counts = _arrival_counts(spark.read.parquet(f"{stage}/firsts"))
-        storage.delete(spark, stage)
-    else:
-        counts = dict.fromkeys(("raw_rows", "quarantined_rows", "deduplicated_rows", "valid_rows"), 0)
-        loaded = 0
-    return _report(spark, batch_id, totals, totals.table.version(), counts, loaded, config.min_result_rows)
-
-
-def _stage_batch(
-    spark: SparkSession, arrived: DataFrame, survivors: VersionedTable, totals: KeyedTable, stage: str
-) -> None:
+            if ready["version"] != survivors.version():
+                ready = _stage_changes(spark, survivors, stage)
+            rows = spark.read.parquet(f"{stage}/{ready['changes']}").select(*RAW_TRANSACTIONS.names)
+            stored = f"{stage}/{ready['changes']}"
+            survivors.merge(rows, ["transaction_id"], stored_at=stored, within=ready["folders"], tag=batch_id)
+        deltas = total_changes(spark.read.parquet(f"{stage}/{ready['changes']}"))
+        with storage.staged(shifted_totals(totals.read_touching(deltas), deltas), "shifted-totals") as shifted:
+            upserts = shifted.rows.filter("transaction_count > 0")
+            emptied = shifted.rows.filter("transaction_count = 0")
+            totals.upsert(upserts, deletes=emptied, stored_at=shifted.path, tag=batch_id)
+            loaded = quality.assert_reconciled(upserts, totals.read_touching(upserts), totals.keys)
+    storage.delete(spark, stage)
+    return counts, loaded
+
+
+def _stage_firsts(spark: SparkSession, arrived: DataFrame, stage: str, validate_first: bool) -> None:
+    """The batch's own survivors, and how many rows of it each stands for."""
     usable = cleanse.has_keys()
+    candidate = usable & F.coalesce(cleanse.is_positive(arrived), F.lit(False)) if validate_first else usable
     firsts = (
         arrived.groupBy("transaction_id")
         .agg(
-            F.min(F.when(usable, F.struct(*ROW_ORDER))).alias("_row"),
+            F.min(F.when(candidate, F.struct(*ROW_ORDER))).alias("_row"),
             F.count(F.lit(1)).alias("_raw"),
             F.count_if(~usable).alias("_quarantined"),
         )
         .select("transaction_id", *[F.col(f"_row.{c}").alias(c) for c in ROW_ORDER], "_raw", "_quarantined")
     )
     firsts.write.mode("errorifexists").parquet(f"{stage}/firsts")
-    firsts = spark.read.schema(firsts.schema).parquet(f"{stage}/firsts")
-    usable_firsts = firsts.filter(cleanse.has_keys()).select(*RAW_TRANSACTIONS.names)
-    small = storage.fits_broadcast(storage.Staged(firsts, f"{stage}/firsts"))
+
+
+def _stage_changes(spark: SparkSession, survivors: VersionedTable, stage: str) -> dict:
+    """What the batch changes in the survivors as they are now; READY, written last, says which version that was."""
+    usable = spark.read.parquet(f"{stage}/firsts").filter(cleanse.has_keys()).select(*RAW_TRANSACTIONS.names)
     version = survivors.version()
-    folders = survivors.folders_with(usable_firsts, ["transaction_id"], small)
-    changes = changed_survivors(survivors.read_folders(folders), usable_firsts, small)
-    changes.write.mode("errorifexists").parquet(f"{stage}/changes")
-    changes = spark.read.schema(changes.schema).parquet(f"{stage}/changes")
-    deltas = total_changes(changes)
-    shifted_totals(totals.read_touching(deltas), deltas).write.mode("errorifexists").parquet(f"{stage}/totals")
-    storage.create_text(spark, f"{stage}/READY", json.dumps({"version": version, "folders": folders}))
+    folders = survivors.folders_with(usable, ["transaction_id"])
+    name = f"changes-{uuid.uuid4().hex[:8]}"
+    changed_survivors(survivors.read_folders(folders), usable).write.parquet(f"{stage}/{name}")
+    ready = {"version": version, "folders": folders, "changes": name}
+    storage.delete(spark, f"{stage}/READY")
+    storage.create_text(spark, f"{stage}/READY", json.dumps(ready))
+    return ready
 
 
 def _arrival_counts(firsts: DataFrame) -> dict[str, int]:

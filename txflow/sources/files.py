@@ -26,11 +26,12 @@ def from_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType |
     return spark.createDataFrame(list(rows), schema if isinstance(schema, T.StructType) else list(schema))
 
 
-def read_transactions_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_transactions_csv(spark: SparkSession, path: str, damaged: str = fx.DAMAGED_TEXT) -> tuple[DataFrame, DataFrame]:
     """Good rows in the declared schema, and quarantined lines with a reason.
 
     All columns are read as text, so that a value that does not parse costs its row a
-    reason and never the whole read.
+    reason and never the whole read. A merchant is refused only if it is missing or
+    matches ``damaged``.
     """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW_TRANSACTIONS])
     raw = (
@@ -50,7 +51,7 @@ def read_transactions_csv(spark: SparkSession, path: str) -> tuple[DataFrame, Da
         .when(F.col("customer_id").isNull(), "null_customer_id")
         .when(F.col("_amount").isNull(), "bad_amount")
         .when(F.col("_ts").isNull(), "bad_timestamp")
-        .when(~F.coalesce(F.col("merchant").rlike(fx.MERCHANT_PATTERN), F.lit(False)), "bad_merchant")
+        .when(F.coalesce(F.col("merchant").rlike(damaged), F.lit(True)), "bad_merchant")
     )
     judged = parsed.withColumn("reason", reason)
     good = judged.filter("reason is null").select(
@@ -65,8 +66,12 @@ def read_transactions_csv(spark: SparkSession, path: str) -> tuple[DataFrame, Da
 
 def write_sample_csv(df: DataFrame, path: str, n: int = 20, order_by: Sequence[str] = ("transaction_id",)) -> None:
     """The first ``n`` rows as one CSV file with a header; times carry their offset."""
-    out = first_rows(df, n, order_by)
-    times = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
-    for name in times:
-        out = out.withColumn(name, F.date_format(name, "yyyy-MM-dd HH:mm:ssxxx"))
-    out.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    write_csv(first_rows(df, n, order_by).coalesce(1), path)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """All rows as a folder of CSV files, each with a header; times carry their offset and their fraction."""
+    for field in df.schema:
+        if isinstance(field.dataType, T.TimestampType):
+            df = df.withColumn(field.name, F.date_format(field.name, "yyyy-MM-dd HH:mm:ss.SSSSSSxxx"))
+    df.write.mode("overwrite").option("header", True).csv(path)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from txflow.operators import rollup, upsert
 from txflow.operators.quality import QualityGateError
-from txflow.operators.skew import keys_present
+from txflow.operators.dml import keys_present
 from txflow.schemas import AUDIT_TRANSACTIONS, DAILY_TOTALS, conform
 from txflow.sources import storage
 from txflow.sources.versioned import VersionedTable

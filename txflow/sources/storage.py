@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -11,10 +12,6 @@ from typing import NamedTuple
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
-# Upper bounds for what is broadcast to every executor: bytes of Parquet files, and rows.
-BROADCAST_BYTES = 10 * 1024 * 1024
-BROADCAST_ROWS = 500_000
-
 _local_scratch: dict[str, str] = {}
 
 
@@ -98,7 +95,7 @@ def shared_dir(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     app = spark.sparkContext.applicationId
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # a local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     if app not in _local_scratch:
         _local_scratch[app] = tempfile.mkdtemp(prefix="run-")
@@ -135,9 +132,3 @@ def staged(df: DataFrame, name: str, stored_at: str | None = None) -> Iterator[S
         yield Staged(spark.read.schema(df.schema).parquet(path), path)
     finally:
         delete(spark, path)
-
-
-def fits_broadcast(stage: Staged) -> bool:
-    """Whether stored rows may be broadcast, by the measured size of their files and their number."""
-    spark = stage.rows.sparkSession
-    return size_of(spark, stage.path) <= BROADCAST_BYTES and stage.rows.count() <= BROADCAST_ROWS

@@ -14,6 +14,7 @@ folders are shared with the version before.
 from __future__ import annotations
 
 import json
+import logging
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
@@ -26,10 +27,12 @@ from pyspark.sql import types as T
 
 from txflow.operators import dml
 from txflow.operators.dedup import duplicate_keys
+from txflow.operators.dml import keys_present
 from txflow.operators.quality import QualityGateError
-from txflow.operators.skew import frequent_keys, keys_present, semi_join_unique
 from txflow.sources import storage
 
+log = logging.getLogger("txflow")
+
 COMMIT_SCHEMA = (
     "version bigint, timestamp timestamp, operation string, predicate string, "
     "operationMetrics map<string,string>, tag string, data_dirs array<string>, "
@@ -120,10 +123,14 @@ class VersionedTable:
         """Whether some version was committed under this tag."""
         return self.exists() and not self.history().filter(F.col("tag") == tag).isEmpty()
 
-    def _commit(self, operation: str, data_dirs: list[str], schema: T.StructType, **details: object) -> int:
+    def _commit(self, operation: str, data_dirs: list[str], schema: T.StructType, *, after: int, **details: object) -> int:
+        """Commit onto version ``after``, the one the change was worked out from (-1 for a new table); any other
+        commit made since then is an error, and its rows stay."""
         versions = self._versions()
+        if (versions[-1] if versions else -1) != after:
+            raise ConcurrentCommitError(f"{self.root} has moved on from version {after} to {versions[-1]}")
         commit = Commit(
-            version=versions[-1] + 1 if versions else 0,
+            version=after + 1,
             timestamp=datetime.now(timezone.utc).isoformat(),
             operation=operation,
             data_dirs=data_dirs,
@@ -215,13 +222,17 @@ class VersionedTable:
         counted = rows.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).collect()
         return sorted(self._dir_of(r, commit.partition_by) for r in counted), sum(r["n"] for r in counted)
 
-    def folders_with(self, unique: DataFrame, keys: Sequence[str], small: bool) -> list[str]:
+    def folders_with(self, unique: DataFrame, keys: Sequence[str]) -> list[str]:
         """Data folders that hold rows under some unique keys; reads the key columns only."""
         base = self._commit_at()
-        located = self._scan(base, located=True)
-        hot = None if small else frequent_keys(located, keys)
-        unique = F.broadcast(unique.select(*keys)) if small else unique
-        return self._affected(base, semi_join_unique(located, unique, keys, hot))[0]
+        return self._affected(base, self._located_under(base, unique, keys))[0]
+
+    def _located_under(
+        self, commit: Commit, unique: DataFrame, keys: Sequence[str], within: Sequence[str] | None = None
+    ) -> DataFrame:
+        """Rows under some unique keys, with their folders; a semi join, whose large side AQE can split."""
+        located = self._scan(commit, within, located=True).filter(keys_present(keys))
+        return located.join(unique.select(*keys), list(keys), "left_semi")
 
     def read_folders(self, dirs: Sequence[str]) -> DataFrame:
         """Rows of some of the latest version's data folders."""
@@ -249,12 +260,22 @@ class VersionedTable:
     def diff(self, before: int, after: int, keys: Sequence[str] | None = None) -> DataFrame:
         """What changed between two versions: by key, or as whole rows for tables with repeated keys.
 
-        Folders that both versions share hold the same rows and are not read.
+        Folders that both versions share hold the same rows and are not read. Where the schema
+        was replaced, the columns that both versions have are compared, as text if their types differ.
         """
         old, new = self._commit_at(before), self._commit_at(after)
         shared = set(old.data_dirs) & set(new.data_dirs) if old.schema_json == new.schema_json else set()
         a = self._scan(old, [d for d in old.data_dirs if d not in shared])
         b = self._scan(new, [d for d in new.data_dirs if d not in shared])
+        common = [c for c in old.schema.names if c in new.schema.names]
+        lost = [k for k in keys or [] if k not in common]
+        if lost or not common:
+            raise ValueError(f"versions {before} and {after} do not both have {lost or 'any column in common'}")
+        others = sorted(set(old.schema.names) ^ set(new.schema.names))
+        if others:
+            log.warning("diff of %s: columns %s are in one version only", self.root, others)
+        same = {c: old.schema[c].dataType == new.schema[c].dataType for c in common}
+        a, b = (df.select(*[F.col(c) if same[c] else F.col(c).cast("string") for c in common]) for df in (a, b))
         return dml.diff_keyed(a, b, keys) if keys else dml.diff_rows(a, b)
 
     # -- writes ----------------------------------------------------------------
@@ -263,21 +284,22 @@ class VersionedTable:
         """Declare an empty table unless it is there already."""
         if self.exists():
             return False
-        self._commit("CREATE", [], schema, **self._layout(schema, self._partition_by))
+        self._commit("CREATE", [], schema, after=-1, **self._layout(schema, self._partition_by))
         return True
 
     def overwrite(self, df: DataFrame, tag: str | None = None) -> int:
         """A new version with these rows and this schema; earlier versions stay readable."""
         if "snapshot" in df.columns:
             raise ValueError("a column may not be named 'snapshot'")
-        parts = self._partition_by
-        if not parts and self.exists():
-            parts = self._commit_at().partition_by
+        parts, base = self._partition_by, self._commit_at() if self.exists() else None
+        if not parts and base:
+            parts = base.partition_by
         layout = self._layout(df.schema, parts)
         dirs = self._write(df, parts)
         draft = Commit(0, "", "WRITE", dirs, df.schema.json(), **layout)
         metrics = {"numOutputRows": str(self._counts(draft, [], dirs)[1])}
-        return self._commit("WRITE", dirs, df.schema, operationMetrics=metrics, tag=tag, **layout)
+        after = base.version if base else -1
+        return self._commit("WRITE", dirs, df.schema, after=after, operationMetrics=metrics, tag=tag, **layout)
 
     def replace(
         self,
@@ -305,6 +327,7 @@ class VersionedTable:
             operation,
             [d for d in base.data_dirs if d not in gone] + fresh,
             base.schema,
+            after=base.version,
             predicate=predicate,
             operationMetrics=all_metrics,
             partition_by=base.partition_by,
@@ -317,6 +340,7 @@ class VersionedTable:
             operation,
             base.data_dirs,
             base.schema,
+            after=base.version,
             operationMetrics=dict(metrics),
             partition_by=base.partition_by,
             partition_types=base.partition_types,
@@ -360,10 +384,9 @@ class VersionedTable:
     ) -> int:
         """Update all matched rows, insert all unmatched source rows.
 
-        The source is staged once, unless it is a plain read of files at ``stored_at``. If its files are below the broadcast threshold the table
-        is not shuffled; otherwise its frequent keys are found first and kept out of the
-        shuffle. Several source rows under one non-NULL key raise. A caller that has already
-        found the data folders with matches (``folders_with``) passes them as ``within``.
+        The source is staged once, unless it is a plain read of files at ``stored_at``. Several source rows under
+        one non-NULL key raise. A caller that has already found the data folders with matches (``folders_with``)
+        passes them as ``within``.
         """
         base, keys = self._commit_at(), list(keys)
         with storage.staged(dml.cast_like(source, self._scan(base)), "merge-source", stored_at) as stage:
@@ -372,12 +395,8 @@ class VersionedTable:
             repeated = duplicate_keys(keyed, keys).take(1)
             if repeated:
                 raise AmbiguousMergeError(f"several source rows under one key, for example {repeated[0]}")
-            small = storage.fits_broadcast(stage)
-            located = self._scan(base, within, located=True)
-            hot = None if small else frequent_keys(located, keys)
-            unique = F.broadcast(keyed.select(*keys)) if small else keyed
-            touched, hits = self._affected(base, semi_join_unique(located, unique, keys, hot))
-            merged = dml.apply_merge(self._scan(base, touched), src, keys, small_source=small, hot=hot)
+            touched, hits = self._affected(base, self._located_under(base, keyed, keys, within))
+            merged = dml.apply_merge(self._scan(base, touched), src, keys)
             return self.replace(
                 merged,
                 touched,
