@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections import Counter
+from itertools import chain, islice
 
 import numpy as np
 import xxhash
 
-PREFIXES = (4, 5, 6, 7)
+PREFIXES = (4, 6)
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-CACHE = 1 << 18
-RUN = 1 << 14
+CACHE = 1 << 19
+RUN = 1 << 16
 
 
 class Features:
@@ -56,33 +57,63 @@ class Features:
 
 
 class Scorer:
-    """Products of a text's features with the columns of a weight matrix; the sums for a word are remembered."""
+    """Products of texts' features with the columns of a weight matrix; the sums for a word are remembered."""
 
     def __init__(self, features: Features, weights: np.ndarray):
         self.features, self.weights = features, weights
-        self.columns = [c.tolist() for c in weights.T]
         self.known: dict[str, int] = {}
         self.table = np.zeros((CACHE, weights.shape[1]))
 
-    def _row(self, word: str) -> int:
-        if len(self.known) >= CACHE:
+    def _sums(self, words: list[str]) -> np.ndarray:
+        """The weights of each word's features, summed; words not met before are worked out together."""
+        if len(self.known) + len(words) > CACHE:
             self.known.clear()
-        k = self.known[word] = len(self.known)
-        held = self.features.of_word(word)
-        self.table[k] = [sum([c[i] for i in held]) for c in self.columns]
-        return k
-
-    def of_text(self, text: str) -> np.ndarray:
-        words = text.split()
-        total = np.zeros(self.weights.shape[1])
-        for at in range(0, len(words), RUN):
-            part = words[at : at + RUN]
-            if len(self.known) + len(part) > CACHE:  # rows of one run must not move while they are gathered
-                self.known.clear()
-            get = self.known.get
-            total += self.table[[k if (k := get(w)) is not None else self._row(w) for w in part]].sum(0)
-        share = self.features.of_share(len(set(words)), len(words))
-        return total / np.sqrt(max(len(words), 1)) + self.weights[share]
+        known, found = self.known, len(self.known)
+        rows = np.array([known.setdefault(w, len(known)) for w in words], np.int64)
+        if len(known) > found:
+            fresh = [self.features.of_word(w) for w in islice(known, found, None)]
+            flat = np.fromiter(chain.from_iterable(fresh), np.int64)
+            starts = np.cumsum([0, *map(len, fresh[:-1])])
+            self.table[found : len(known)] = np.add.reduceat(self.weights[flat], starts, axis=0)
+        return self.table[rows]
+
+    def of_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """One row of products for each text, and its number of words; words are worked on in runs of bounded length."""
+        total = np.zeros((len(texts), self.weights.shape[1]))
+        counts = np.zeros(len(texts), np.int64)
+        share = np.zeros(len(texts), np.int64)
+        held: list[str] = []
+        starts: list[tuple[int, int]] = []
+
+        def flush() -> None:
+            if held:
+                sums = np.add.reduceat(self._sums(held), [s for _, s in starts], axis=0)
+                total[[i for i, _ in starts]] += sums
+                held.clear()
+                starts.clear()
+
+        for i, text in enumerate(texts):
+            words = text.split()
+            counts[i] = len(words)
+            share[i] = self.features.of_share(len(set(words)), len(words))
+            for at in range(0, len(words), RUN):
+                starts.append((i, len(held)))
+                held += words[at : at + RUN]
+                if len(held) >= RUN:
+                    flush()
+        flush()
+        return total / np.sqrt(np.maximum(counts, 1))[:, None] + self.weights[share], counts
+
+
+_SCORERS: dict[str, Scorer] = {}
+
+
+def scorer(name: str, bits: int, weights: np.ndarray) -> Scorer:
+    """The scorer of this Python worker for the model of that name; its memory of words outlives a task."""
+    if name not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[name] = Scorer(Features(bits), weights)
+    return _SCORERS[name]
 
 
 class Rows:

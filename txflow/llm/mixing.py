@@ -6,8 +6,9 @@ that the expected tokens of each domain, sum(rate * tokens * posterior), meet it
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txflow.llm.common import written
-from txflow.llm.linear import Features, Scorer, fit_logistic
+from txflow.llm.linear import fit_logistic, scorer
 from txflow.llm.toxicity import Fit, sample
 
 DOMAINS = ("en", "de", "fr", "es", "junk")
@@ -33,6 +34,7 @@ class Domains:
     bits: int
     weights: np.ndarray
     bias: np.ndarray
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def posteriors(self, linear: np.ndarray) -> np.ndarray:
         z = linear + self.bias
@@ -74,13 +76,10 @@ def learn(docs: DataFrame, labels: DataFrame, names: tuple[str, ...] = DOMAINS,
     return Domains(names, fit.bits, np.stack([w[:-1] for w in fits], 1), np.array([w[-1] for w in fits]))
 
 
-def _judge(batch_texts: list[str | None], model: Domains, scorer: Scorer) -> tuple[np.ndarray, np.ndarray]:
+def _judge(texts: list[str | None], model: Domains) -> tuple[np.ndarray, np.ndarray]:
     """Tokens (words) and posteriors of texts."""
-    texts = [x or "" for x in batch_texts]
-    tokens = np.array([len(x.split()) for x in texts], np.int64)
-    if not texts:
-        return tokens, np.zeros((0, len(model.names)))
-    return tokens, model.posteriors(np.stack([scorer.of_text(x) for x in texts]))
+    products, tokens = scorer(model.name, model.bits, model.weights).of_texts([x or "" for x in texts])
+    return tokens, model.posteriors(products)
 
 
 def memberships(docs: DataFrame, model: Domains) -> DataFrame:
@@ -90,9 +89,8 @@ def memberships(docs: DataFrame, model: Domains) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        scorer = Scorer(Features(model.bits), model.weights)
         for batch in batches:
-            tokens, p = _judge(batch.column("text").to_pylist(), model, scorer)
+            tokens, p = _judge(batch.column("text").to_pylist(), model)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(tokens), *map(pa.array, p.T)], names)
 
     schema = "doc_id long, n_tokens long, " + ", ".join(f"p_{d} double" for d in model.names)
@@ -173,10 +171,9 @@ def mixed(docs: DataFrame, model: Domains, steps: Steps, least: int = 0) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, steps = sent.value
-        scorer = Scorer(Features(model.bits), model.weights)
         for batch in batches:
             texts = batch.column(at).to_pylist()
-            _, p = _judge(texts, model, scorer)
+            _, p = _judge(texts, model)
             n = np.maximum(least, copies(batch.column(key).to_pylist(), texts, steps.rates(p)))
             while n.any():  # one batch for each round of copies, so that no batch is larger than the one that came
                 yield batch.filter(pa.array(n > 0))

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txflow.llm.linear import Features, Rows, Scorer, fit_logistic, sigmoid
+from txflow.llm.linear import Features, Rows, fit_logistic, scorer, sigmoid
 
 CATEGORIES = ("poor", "toxic")
 
@@ -42,6 +43,7 @@ class Chain:
     earlier: tuple[np.ndarray, ...]
     bias: np.ndarray
     thresholds: np.ndarray
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def probabilities(self, linear: np.ndarray) -> np.ndarray:
         """From the products of rows with the weight columns (n x categories), category after category."""
@@ -126,10 +128,9 @@ def learn(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATE
     return fit_chain(y, rows, categories, fit)
 
 
-def _predict(texts: list[str | None], chain: Chain, scorer: Scorer) -> np.ndarray:
-    if not texts:
-        return np.zeros((0, len(chain.categories)))
-    return chain.probabilities(np.stack([scorer.of_text(x or "") for x in texts]))
+def _predict(texts: list[str | None], chain: Chain) -> np.ndarray:
+    products, _ = scorer(chain.name, chain.bits, chain.weights).of_texts([x or "" for x in texts])
+    return chain.probabilities(products)
 
 
 def predict(docs: DataFrame, chain: Chain) -> DataFrame:
@@ -144,9 +145,8 @@ def predict(docs: DataFrame, chain: Chain) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = sent.value
-        scorer = Scorer(Features(chain.bits), chain.weights)
         for batch in batches:
-            p = _predict(batch.column("text").to_pylist(), chain, scorer)
+            p = _predict(batch.column("text").to_pylist(), chain)
             columns = [pa.array(p[:, j]) for j in range(p.shape[1])]
             columns += [pa.array(p[:, j] >= chain.thresholds[j]) for j in range(p.shape[1])]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
@@ -163,9 +163,8 @@ def without_toxic(docs: DataFrame, chain: Chain, category: str = "toxic") -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = sent.value
-        scorer = Scorer(Features(chain.bits), chain.weights)
         for batch in batches:
-            p = _predict(batch.column(at).to_pylist(), chain, scorer)
+            p = _predict(batch.column(at).to_pylist(), chain)
             yield batch.filter(pa.array(p[:, j] < chain.thresholds[j]))
 
     return docs.mapInArrow(run, docs.schema)
