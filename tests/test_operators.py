@@ -14,7 +14,7 @@ from txflow.operators.dedup import dedupe, duplicate_keys
 from txflow.plans import daily
 from txflow.plans.fixtures import dirty_tx
 from txflow.plans.run import ROW_ORDER, quarantined
-from txflow.schemas import RAW_TRANSACTIONS, RAW_TRANSACTIONS_FLOAT, SchemaMismatchError, assert_schema, conform
+from txflow.schemas import AUDIT_TRANSACTIONS, RAW_TRANSACTIONS, SchemaMismatchError, assert_schema, conform
 
 SF = "/root/testdata/sf0.01"
 TX = "transaction_id string, customer_id string, amount decimal(18,2), timestamp timestamp, merchant string"
@@ -169,7 +169,7 @@ def test_conform(spark):
     with pytest.raises(SchemaMismatchError):
         conform(df.drop("merchant"), RAW_TRANSACTIONS)
     with pytest.raises(SchemaMismatchError):
-        assert_schema(out, RAW_TRANSACTIONS_FLOAT)
+        assert_schema(out, AUDIT_TRANSACTIONS)
 
 
 # -- update, delete, merge, diff -----------------------------------------------

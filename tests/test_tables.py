@@ -12,7 +12,7 @@ from txflow.operators import dml
 from txflow.operators.quality import QualityGateError
 from txflow.plans.fixtures import copies, dirty_tx
 from txflow.schemas import AUDIT_TRANSACTIONS
-from txflow.sources import storage, versioned
+from txflow.sources import versioned
 from txflow.sources.keyed import KeyedTable
 from txflow.sources.versioned import (
     AmbiguousMergeError,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from txflow.plans import daily
 from txflow.plans.fixtures import copies, dirty_tx, load, originals
 from txflow.plans import run as runs
 from txflow.plans.run import ROW_ORDER, check_session, quarantined, run_daily, run_incremental
-from txflow.schemas import MONEY, RAW_TRANSACTIONS, conform
+from txflow.schemas import DAILY_TOTALS_FLOAT, MONEY, RAW_TRANSACTIONS, conform
 from txflow.sources import files, storage
 from txflow.sources.keyed import KeyedTable
 from txflow.sources.versioned import VersionedTable
@@ -881,3 +881,26 @@ def _(spark, sf):
         F.concat(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+01:30"))
     )
     return dirty_tx(spark, sf).select("transaction_id", fx.parse_ts(text).cast("timestamp_ntz").alias("parsed"))
+
+
+@_query(
+    "daily_totals_float_load",
+    TOTALS + "select customer_id, transaction_date, daily_total::float as daily_total, transaction_count from totals",
+)
+def _(spark, sf):
+    """Exact totals in a table of the 32-bit layout."""
+    table = KeyedTable.daily_totals(spark, storage.fresh_dir(spark, "daily-totals"), DAILY_TOTALS_FLOAT)
+    table.upsert(daily.transform(dirty_tx(spark, sf)))
+    return table.read()
+
+
+@_query(
+    "audit_range_violations",
+    TX
+    + """
+select transaction_id, amount from dirty_tx
+where not coalesce(amount > 0, false) or "timestamp" > timestamp '2024-01-20 00:00:00'""",
+)
+def _(spark, sf):
+    """Rows that are not positive, or lie after a stated moment."""
+    return quality.range_violations(dirty_tx(spark, sf), datetime(2024, 1, 20)).select("transaction_id", "amount")

@@ -18,11 +18,6 @@ RAW_TRANSACTIONS = T.StructType(
     ]
 )
 
-# The 32-bit amount of the original table layout, for callers that still hold it.
-RAW_TRANSACTIONS_FLOAT = T.StructType(
-    [T.StructField("amount", T.FloatType(), False) if f.name == "amount" else f for f in RAW_TRANSACTIONS]
-)
-
 DAILY_TOTALS = T.StructType(
     [
         T.StructField("customer_id", T.StringType(), False),
@@ -32,6 +27,11 @@ DAILY_TOTALS = T.StructType(
     ]
 )
 
+# The same with a 32-bit total, for readers of the original table layout.
+DAILY_TOTALS_FLOAT = T.StructType(
+    [T.StructField("daily_total", T.FloatType(), False) if f.name == "daily_total" else f for f in DAILY_TOTALS]
+)
+
 AUDIT_TRANSACTIONS = T.StructType(
     [
         T.StructField("transaction_id", T.StringType(), False),

@@ -38,10 +38,13 @@ class KeyedTable:
         self.table.create(schema)
 
     @classmethod
-    def daily_totals(cls, spark: SparkSession, root: str) -> KeyedTable:
-        """Result table: one folder per day, sorted by customer."""
+    def daily_totals(cls, spark: SparkSession, root: str, schema: T.StructType = DAILY_TOTALS) -> KeyedTable:
+        """Result table: one folder per day, sorted by customer.
+
+        With ``DAILY_TOTALS_FLOAT`` exact totals are rounded to 32 bits as they are loaded.
+        """
         keys = ["customer_id", "transaction_date"]
-        return cls(spark, root, DAILY_TOTALS, keys, {"transaction_date": "transaction_date"})
+        return cls(spark, root, schema, keys, {"transaction_date": "transaction_date"})
 
     @classmethod
     def audit(cls, spark: SparkSession, root: str, schema: T.StructType = AUDIT_TRANSACTIONS, buckets: int = 64):
