@@ -162,7 +162,7 @@ def write(pages: DataFrame, folder: str, layout: Layout = Layout()) -> DataFrame
     marked = marks.select("page_id", F.lit(0).alias("kind"), empty.alias("url"), empty.alias("html"), "digest", "first")
     payloads = base.select("page_id", F.lit(1).alias("kind"), "url", "html", F.sha2("html", 256).alias("digest"), F.lit(None).cast("long").alias("first"))
     both = payloads.unionByName(marked).withColumn("shard", shard_of("page_id"))
-    dealt = both.repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "kind", "digest", "url")
+    dealt = both.repartitionById(len(bounds) + 1, "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "kind", "digest", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: ShardWriter | None = None
