@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txflow.llm.common import of_worker
+
 # Fixed values of the tokenizer file's kind: its normalizer and pre-tokenizer, checked against the file when it is read.
 CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMAL = [
@@ -259,14 +261,9 @@ class WordBpe:
         yield machine.decode(b"", True)
 
 
-_LOADED: dict[str, WordBpe] = {}
-
-
 def loaded(path: str) -> WordBpe:
     """The encoder of this Python worker."""
-    if path not in _LOADED:
-        _LOADED[path] = WordBpe(path)
-    return _LOADED[path]
+    return of_worker(path, lambda: WordBpe(path))
 
 
 def public_path(name: str = "word_bpe_49k.json") -> str:

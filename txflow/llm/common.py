@@ -28,6 +28,17 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"{SPACE}+"), "")
 
 
+_HELD: dict = {}
+
+
+def of_worker(key, make):
+    """A large object that outlives the tasks of a Python worker; it goes when a task asks for another one."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def with_rank(keys: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
     """Distinct rows with their place in the order from 0, and how many there are.
 

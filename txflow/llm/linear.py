@@ -8,9 +8,11 @@ from itertools import chain, islice
 import numpy as np
 import xxhash
 
+from txflow.llm.common import of_worker
+
 PREFIXES = (4, 6)
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-CACHE = 1 << 19
+CACHE = 1 << 18
 RUN = 1 << 16
 
 
@@ -105,15 +107,9 @@ class Scorer:
         return total / np.sqrt(np.maximum(counts, 1))[:, None] + self.weights[share], counts
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def scorer(name: str, bits: int, weights: np.ndarray) -> Scorer:
     """The scorer of this Python worker for the model of that name; its memory of words outlives a task."""
-    if name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[name] = Scorer(Features(bits), weights)
-    return _SCORERS[name]
+    return of_worker(name, lambda: Scorer(Features(bits), weights))
 
 
 class Rows:
