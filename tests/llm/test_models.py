@@ -14,6 +14,7 @@ import pytest
 import corpus_pipeline
 from txflow.llm import bpe, lines, lm, mixing, simhash, toxicity, warc
 from txflow.llm.components import connected
+from txflow.llm.linear import Features
 
 from .conftest import ODD, SF, frame
 
@@ -181,6 +182,12 @@ def test_later_links_of_the_chain_see_earlier_probabilities():
     assert p.shape == (2, 2)
 
 
+def test_words_have_all_four_prefixes():
+    f = Features(18)
+    assert f.of_word("wonderful") == [f.hashed(p) for p in ("=wonderful", "4wond", "5wonde", "6wonder", "7wonderf")]
+    assert f.of_word("wonde") == [f.hashed(p) for p in ("=wonde", "4wond")]
+
+
 def test_toxicity_odd_rows(odd, none, labels, no_labels):
     assert toxicity.op10_toxicity(odd, labels).count() == len(ODD)
     got = toxicity.op10_toxicity(odd, no_labels).collect()
