@@ -71,6 +71,28 @@ def test_full_license_in_paragraphs(spark):
     assert row.licenses == "MIT" and row.best_dice == 1.0
 
 
+CODE = "\n".join(f"    value_{k} = compute(alpha_{k}, beta_{k}) + offset_{k}" for k in range(60))
+
+
+def test_license_in_three_paragraphs_with_code(spark):
+    body = dict((n, t) for n, t in licenses.TEMPLATES if len(t) > 600)["MIT"]
+    parts = body.replace("conditions: The", "conditions:\n\nThe").replace("Software. THE", "Software.\n\nTHE")
+    assert parts.count("\n\n") == 2
+    row = licenses.scan(frame(spark, [(1, f"{parts}\n\n{CODE}")])).first()
+    assert (row.licenses, row.n_matches, row.best_dice) == ("MIT", 1, 1.0)
+
+
+def test_notice_inside_a_line(spark):
+    rows = [
+        (1, "This is a small tool of mine, and it is licensed under the MIT License. as you may have read elsewhere by now."),
+        (2, "This is a small tool of mine, and it is sold under the terms that you may have read elsewhere by now."),
+        (3, "Licensed under the MIT License.\nIt was licensed under the MIT License. from the start, so they told us."),
+        (4, "We read: all rights reserved. And that it is licensed under CC BY 4.0. as a whole, which cannot be so."),
+    ]
+    got = {r.doc_id: (r.licenses, r.n_matches) for r in licenses.scan(frame(spark, rows)).collect()}
+    assert got == {1: ("MIT", 1), 2: ("", 0), 3: ("MIT", 1), 4: ("CC-BY-4.0,all-rights-reserved", 2)}
+
+
 def brute_lines(rows):
     """rows: (doc_id, text), distinct; the cleaned texts."""
     split = {i: t.split("\n") for i, t in rows}

@@ -114,6 +114,55 @@ def _scores(passage: Column, known: list) -> Column:
     return F.transform(F.transform(F.array(F.split(passage, " ")), bigrams), against)[0]
 
 
+def _bigints(values: list[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def _windows(templates, threshold: float) -> Column:
+    """The best window of the running text ``t`` for each template that has one: name, minus its Dice coefficient, words.
+
+    A window begins at a word pair of the template and is as many words long as the template, or ends with the text. A
+    text with fewer of a template's pairs than a match needs is passed over.
+    """
+    known = list(_templates(templates, threshold))
+    lengths = [n for n in (len(normal_words(text)) for _, text in templates) if n > 1]
+    hashes = [[_hash(f"{a} {b}") for a, b in pairs] for _, pairs, *_ in known]
+    every = _bigints(sorted({h for hs in hashes for h in hs}))
+
+    def pairs_of(w: Column) -> Column:
+        pair = lambda i: F.xxhash64(F.concat_ws(" ", F.get(w, i - 1), F.get(w, i)))
+        two = F.transform(F.sequence(F.lit(1), F.size(w) - 1), pair)
+        g = F.when(F.size(w) > 1, two).otherwise(F.array().cast("array<bigint>"))
+        return F.struct(w.alias("w"), g.alias("g"))
+
+    def with_common(x: Column) -> Column:
+        return F.struct(x.w.alias("w"), x.g.alias("g"), F.array_intersect(x.g, every).alias("c"))
+
+    def best_of(x: Column, name: str, hs: list[int], n: int, lo: int) -> Column:
+        own = _bigints(hs)
+
+        def against(i: Column) -> Column:
+            def dice(held: Column) -> Column:
+                return F.struct((-2.0 * F.size(F.array_intersect(held, own)) / (F.size(held) + len(hs))).alias("d"), i.alias("i"))
+
+            return F.transform(F.array(F.array_distinct(F.slice(x.g, i, n - 1))), dice)[0]
+
+        starts = F.filter(F.sequence(F.lit(1), F.size(x.g)), lambda i: F.array_contains(own, F.get(x.g, i - 1)))
+        good = F.filter(F.transform(starts, against), lambda y: y.d <= -threshold)
+        said = lambda y: F.struct(
+            F.lit(name).alias("name"), y.d.alias("d"), F.array_join(F.slice(x.w, y.i, n), " ").alias("u")
+        )
+        return F.when(F.size(F.array_intersect(x.c, own)) >= lo, F.array_min(F.transform(good, said)))
+
+    def best(x: Column) -> Column:
+        found = [best_of(x, k[0], hs, n, k[2]) for k, hs, n in zip(known, hashes, lengths, strict=True)]
+        some = F.array_compact(F.array(*found)) if found else F.array().cast("array<struct<name:string,d:double,u:string>>")
+        return F.when(F.size(x.c) > 1, some) if min((k[2] for k in known), default=0) > 1 else some
+
+    bound = F.transform(F.array(F.split(_normal(F.col("t")), " ")), pairs_of)
+    return F.transform(F.transform(bound, with_common), best)[0]
+
+
 def _hash(text: str) -> int:
     """The engine's 64-bit hash of a string, as a signed number."""
     h = xxhash.xxh64_intdigest(text.encode(), 42)
@@ -128,6 +177,10 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
     template; a template whose number of bigrams lies outside the bounds for the passage's is passed over, since it
     could not match.
 
+    A licence that no passage has is also looked for in the running text, by windows of each template's number of words
+    that begin at one of its word pairs: a licence in several paragraphs of a longer text, or a notice inside a line.
+    The best window of such a licence counts as one more match.
+
     NULL and empty texts and documents without a match have 0 matches, '' for ``licenses``, 0.0 and NULL. Of equally
     good passages the first in alphabetical order is returned. Repeated rows get a row each. Only ``doc_id`` and
     ``text`` are read. No text is shuffled: what leaves the scan is one partial row for each document.
@@ -136,30 +189,38 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
     text = F.coalesce("text", F.lit(""))
     blocks = F.filter(F.split(F.col("t"), r"\n[\x20\x09\x0B-\x0D]*\n", -1), lambda x: x.rlike(NOT_SPACE))
     step = docs.select("doc_id", F.monotonically_increasing_id().alias("rid"), text.alias("t")).withColumn("b", blocks)
+    step = step.withColumn("windows", _windows(templates, threshold))
     lines = F.filter(F.split("t", "\n", -1), lambda x: x.rlike(NOT_SPACE))
     paragraphs = F.filter("b", lambda x: x.rlike(NOT_SPACE + r"[\x20\x09\x0B-\x0D]*\n[\x20\x09\x0B-\x0D]*" + NOT_SPACE))
     whole = F.when(F.size("b") > 1, F.array("t")).otherwise(F.array().cast("array<string>"))
     # The first entry stands for the document itself, so that it stays when nothing matches.
     passages = F.concat(F.array(F.lit("")), lines, paragraphs, whole)
-    step = step.select("rid", "doc_id", F.posexplode(passages).alias("i", "raw"))
-    w = step.select("rid", "doc_id", "i", _normal(F.col("raw")).alias("u"))
+    step = step.select("rid", "doc_id", "windows", F.posexplode(passages).alias("i", "raw"))
+    w = step.select("rid", "doc_id", "windows", "i", _normal(F.col("raw")).alias("u"))
     w = w.withColumn("scores", _scores(F.col("u"), known))
     w = w.withColumn("dice", F.array_max("scores")).where((F.col("i") == 0) | (F.col("dice") >= threshold))
     names = F.split(F.lit(",".join(name for name, *_ in known)), ",")
     hit = F.filter(F.transform("scores", lambda x, k: F.when(x >= threshold, F.get(names, k - 1))), lambda x: x.isNotNull())
-    best = F.min(F.struct((-F.col("dice")).alias("d"), F.col("u").alias("u")))
+    best = F.min(F.when(F.col("i") > 0, F.struct((-F.col("dice")).alias("d"), F.col("u").alias("u"))))
     out = w.withColumn("hit", hit).groupBy("rid", "doc_id").agg(
-        F.count(F.when(F.col("i") > 0, 1)).alias("n_matches"),
-        F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_list("hit")))), ",").alias("licenses"),
+        F.count(F.when(F.col("i") > 0, 1)).alias("n"),
+        F.array_distinct(F.flatten(F.collect_list("hit"))).alias("names"),
         best.alias("best"),
+        F.flatten(F.collect_list(F.when(F.col("i") == 0, F.col("windows")))).alias("windows"),
     )
+    more = F.filter("windows", lambda x: ~F.array_contains(F.col("names"), x["name"]))
+    out = out.withColumn("more", more)
+    out = out.withColumn("more_names", F.array_distinct(F.transform("more", lambda x: x["name"])))
+    windows = F.transform("more", lambda x: F.struct(x.d.alias("d"), x.u.alias("u")))
+    top = F.array_min(F.concat(F.array_compact(F.array("best")), windows))
+    out = out.withColumn("n_matches", F.col("n") + F.size("more_names")).withColumn("top", top)
     found = F.col("n_matches") > 0
     return out.select(
         "doc_id",
         "n_matches",
-        "licenses",
-        F.when(found, -F.col("best.d")).otherwise(0.0).alias("best_dice"),
-        F.when(found, F.col("best.u")).alias("best_passage"),
+        F.array_join(F.sort_array(F.concat("names", "more_names")), ",").alias("licenses"),
+        F.when(found, -F.col("top.d")).otherwise(0.0).alias("best_dice"),
+        F.when(found, F.col("top.u")).alias("best_passage"),
     )
 
 
