@@ -40,16 +40,21 @@ def of_worker(key, make):
 
 
 def with_rank(keys: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
-    """Distinct rows with their place in the order from 0, and how many there are.
+    """Distinct rows with their place in the order from 0, and how many there are."""
+    return ranked(keys.distinct(), order)
+
+
+def ranked(rows: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
+    """All rows with their place in the order from 0 (``rank``), and how many there are.
 
     A range-partitioned sort numbers rows within its partitions; the offsets are one number for each
     partition, so that no task ever sees all rows. The sorted rows are written before they are counted,
     because a second run of the sort could cut its ranges elsewhere.
     """
-    spark = keys.sparkSession
+    spark = rows.sparkSession
     place = F.monotonically_increasing_id()
     by = [F.col(c).asc_nulls_first() for c in order]
-    placed = written(keys.distinct().orderBy(*by).select("*", place.alias("_place")), "rank")
+    placed = written(rows.orderBy(*by).select("*", place.alias("_place")), "rank")
     part, row = F.shiftright("_place", 33), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = sorted(placed.groupBy(part.alias("part")).count().collect())
     offsets, total = [], 0
@@ -57,5 +62,5 @@ def with_rank(keys: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
         offsets.append((p, total))
         total += n
     starts = spark.createDataFrame(offsets, "_part long, _start long")
-    ranked = placed.withColumn("_part", part).join(F.broadcast(starts), "_part")
-    return ranked.select(*keys.columns, (F.col("_start") + row).alias("rank")), total
+    located = placed.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    return located.select(*rows.columns, (F.col("_start") + row).alias("rank")), total
