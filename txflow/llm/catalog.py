@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from txflow.llm import bpe, imatch, licenses, lines, lm, mixing, quality, simhash, toxicity, warc
+from txflow.llm import bpe, imatch, licenses, lines, lm, merkle, mixing, packing, quality, simhash, toxicity, warc, whitening
 from txflow.llm.common import table
 from txflow.sources.storage import fresh_dir
 
@@ -64,6 +64,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op10_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
+    return packing.op11_packing(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings whitened by their first 16 components."""
+    return whitening.op12_whitening(table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Merkle manifest of all documents, each proved against a copy some of whose texts were changed."""
+    return merkle.op13_merkle(table(spark, sf_dir, "documents"))
+
+
 OPERATORS = (
     op1_imatch,
     op2_licenses,
@@ -75,6 +90,9 @@ OPERATORS = (
     op8_quality,
     op9_line_dedup,
     op10_toxicity,
+    op11_packing,
+    op12_whitening,
+    op13_merkle,
 )
 
 
@@ -83,4 +101,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_licenses": licenses.SQL, "op7_warc": warc.SQL, "op8_quality": quality.SQL, "op9_line_dedup": lines.SQL}
+    return {
+        "op2_licenses": licenses.SQL,
+        "op7_warc": warc.SQL,
+        "op8_quality": quality.SQL,
+        "op9_line_dedup": lines.SQL,
+        "op13_merkle": merkle.SQL,
+    }
