@@ -174,8 +174,8 @@ def manifest(rows: DataFrame, leaf: Column, found: Column, group: Column, order:
     top = order_of_groups.select(F.lit("").alias("grp"), F.col("rank").alias("pos"), F.lit(n_groups).cast("long").alias("n"), "node", F.col("grp").alias("source"))
     above = [top, *tiers(top, n_groups, shape)]
 
-    none = F.array().cast("array<int>")
-    outer = above[-1].select("grp", F.lit(0).cast("long").alias("pos"), F.lit("").alias("proof"), none.alias("places"), none.alias("sizes"), F.lit(None).cast("string").alias("subroot"), F.col("node").alias("root"))
+    roots = [("", 0, "", [], [], None, r.node) for r in above[-1].select("node").collect()]  # one row, none of an empty table
+    outer = rows.sparkSession.createDataFrame(roots, f"grp string, pos long, {PROOF}, subroot string, root string")
     for tier in reversed(above[1:-1]):
         outer = spread(tier, outer, shape)
     outer = spread(top, outer, shape, "source string")
@@ -219,13 +219,13 @@ with recursive bits as (
 marked as (
   select *, list_reduce(list_prepend(4294967295::ubigint, b), lambda crc, bit: xor(crc >> 1::ubigint,
          case when xor(crc, bit) & 1::ubigint = 1 then 3988292384::ubigint else 0::ubigint end)) crc from bits),
-both as (
+texts as (
   select *, case when xor(crc, 4294967295::ubigint) & 1::ubigint = 0 then replace(text, chr(10), '') else text end cut,
          coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
          || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') head from marked),
 leaves as (
   select doc_id, coalesce('s' || source, '-') g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) node,
-         sha256(head || coalesce(strlen(cut) || ':' || cut, '-')) found from both),
+         sha256(head || coalesce(strlen(cut) || ':' || cut, '-')) found from texts),
 placed as (
   select *, row_number() over (order by g, doc_id nulls first, node, found) id,
          row_number() over (partition by g order by doc_id nulls first, node, found) - 1 pos, count(*) over (partition by g) n from leaves),
