@@ -5,6 +5,7 @@ import random
 from dataclasses import replace
 from datetime import date, datetime, timedelta
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -19,6 +20,7 @@ from txflow.schemas import RAW_TRANSACTIONS, conform
 from txflow.sources import files, generate
 from txflow.sources.keyed import KeyedTable
 from txflow.sources.versioned import VersionedTable
+from txflow.sources.winners import SurvivorStore
 from txflow.streaming.feed import run_available
 
 SF = "/root/testdata/sf0.001"
@@ -248,22 +250,87 @@ def test_random_batches_against_brute_force(spark, tmp_path, seed):
     assert counts.quarantined_rows == sum(None in (i, c, t) for i, c, _, t, _ in seen)
 
 
-@pytest.mark.parametrize("broken", ["survivors", "totals"])
-def test_interrupted_incremental_run_continues(spark, tmp_path, monkeypatch, broken):
+STEPS = {"survivors": (SurvivorStore, "append"), "deltas": (SurvivorStore, "append_deltas"), "totals": (KeyedTable, "upsert"), "done": (SurvivorStore, "finish")}
+
+
+@pytest.mark.parametrize("other", [False, True])
+@pytest.mark.parametrize("broken", STEPS)
+def test_interrupted_incremental_run_continues(spark, tmp_path, monkeypatch, broken, other):
+    """A run that is lost at any step is finished by the next call, or before another batch."""
     config = flow(tmp_path)
     late = F.col("merchant") == "purchase"
     run.run_incremental(spark, originals(spark, SF).filter(~late).unionByName(copies(spark, SF)), config, "1")
     second = originals(spark, SF).filter(late)
+    owner, step = STEPS[broken]
+    whole = getattr(owner, step)
 
-    def fail(*args, **kwargs):
+    def fail(self, *args, **kwargs):
+        if broken in ("survivors", "deltas"):
+            whole(self, *args, **kwargs)  # lost just after its work
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(VersionedTable if broken == "survivors" else KeyedTable, "merge" if broken == "survivors" else "upsert", fail)
+        patch.setattr(owner, step, fail)
         with pytest.raises(RuntimeError, match="lost"):
             run.run_incremental(spark, second, config, "2")
+    if other:
+        run.run_incremental(spark, copies(spark, SF), config, "3")
     report = run.run_incremental(spark, second, config, "2").first()
-    assert report.source_rows == second.count()
+    assert report.source_rows == (0 if other else second.count())
+    assert rows_of(KeyedTable.daily_totals(spark, config.target).read()) == rows_of(daily.transform(raw(spark)))
+
+
+def data_files(root):
+    return {str(p): p.stat().st_mtime_ns for p in Path(root).rglob("*.parquet")}
+
+
+def test_a_batch_of_one_id_reads_one_bucket_and_rewrites_nothing(spark, tmp_path):
+    config = flow(tmp_path)
+    run.run_incremental(spark, dirty_tx(spark, SF), config, "1")
+    store = run.survivor_table(spark, config.survivors)
+    before = data_files(config.survivors)
+    assert len([f for f in before if "/winners/" in f]) >= store.buckets // 2
+    one = raw(spark).filter("transaction_id = 'T7'").limit(1).withColumn("timestamp", F.to_timestamp(F.lit("2020-01-01 05:00:00")))
+    known = store.known(one.select("transaction_id"), "2")
+    assert len(known.inputFiles()) == 1 and known.count() == 1
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(transaction_id,T7)" in plan or "In(transaction_id, [T7])" in plan
+    run.run_incremental(spark, one, config, "2")
+    after = data_files(config.survivors)
+    assert before.items() <= after.items()  # nothing is rewritten or gone
+    fresh = [f for f in after if f not in before]
+    assert sum("/winners/" in f for f in fresh) == 1 and sum("/deltas/" in f for f in fresh) == 2
+    assert rows_of(KeyedTable.daily_totals(spark, config.target).read()) == rows_of(daily.transform(raw(spark).unionByName(one)))
+
+
+def test_survivor_files_carry_bloom_filters(spark, tmp_path):
+    store = SurvivorStore(spark, str(tmp_path / "s"), buckets=1)
+    rows = generate.generate_transactions(spark, 20_000, AS_OF).drop("row_no")
+    store.append(rows, "1")
+    scan = spark.read.parquet(f"{store.root}/winners")
+    present = rows.select("transaction_id").first()[0]
+    seen = lambda value: rows_read(scan.filter(F.col("transaction_id") == value))
+    assert 0 < seen(present) <= 20_000 and seen("7fffffff-none") == 0  # inside the range of ids, in no row
+
+
+def rows_read(df):
+    """Rows that the scan of a drained frame gave, by its own metric."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_compacted_survivors_stay_the_same(spark, tmp_path):
+    config = flow(tmp_path)
+    late = F.col("merchant") == "purchase"
+    run.run_incremental(spark, originals(spark, SF).filter(~late).unionByName(copies(spark, SF)), config, "1")
+    run.run_incremental(spark, originals(spark, SF).filter(late), config, "2")
+    store = run.survivor_table(spark, config.survivors)
+    rows = rows_of(store.read())
+    assert store.compact() > store.buckets and store.compact() == 0
+    assert rows_of(run.survivor_table(spark, config.survivors).read()) == rows
+    run.run_incremental(spark, dirty_tx(spark, SF), config, "3")
     assert rows_of(KeyedTable.daily_totals(spark, config.target).read()) == rows_of(daily.transform(raw(spark)))
 
 

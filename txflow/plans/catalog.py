@@ -14,8 +14,7 @@ from txflow.operators import cleanse, dml, quality, rollup, upsert
 from txflow.operators.dedup import dedupe, duplicate_keys
 from txflow.plans import daily
 from txflow.plans.fixtures import copies, dirty_tx, load, originals
-from txflow.plans import run as runs
-from txflow.plans.run import ROW_ORDER, check_session, quarantined, run_daily, run_incremental
+from txflow.plans.run import ROW_ORDER, check_session, quarantined, run_daily, run_incremental, stage_batch, survivor_table
 from txflow.schemas import DAILY_TOTALS_FLOAT, MONEY, RAW_TRANSACTIONS, conform
 from txflow.sources import files, storage
 from txflow.sources.keyed import KeyedTable
@@ -692,33 +691,15 @@ def _(spark, sf):
     return KeyedTable.daily_totals(spark, config.target).read()
 
 
-class _Interrupted(Exception):
-    pass
-
-
-def _stop(*args, **kwargs):
-    raise _Interrupted
-
-
-def _interrupted(spark: SparkSession, batch: DataFrame, config: FlowConfig, batch_id: str, at: str) -> None:
-    """Run a batch that stops before it is applied, or between the commits to its two tables."""
-    owner, name = (runs, "_apply_batch") if at == "stage" else (KeyedTable, "upsert")
-    kept = getattr(owner, name)
-    setattr(owner, name, _stop)
-    try:
-        run_incremental(spark, batch, config, batch_id)
-    except _Interrupted:
-        pass
-    finally:
-        setattr(owner, name, kept)
-
-
-def _resumed(spark: SparkSession, sf: str, at: str) -> DataFrame:
+def _resumed(spark: SparkSession, sf: str, halfway: bool) -> DataFrame:
     root = storage.fresh_dir(spark, "resumed")
     config = FlowConfig(source="", target=f"{root}/totals", survivors=f"{root}/survivors", min_result_rows=1)
     late = F.col("merchant") == "purchase"
     a = originals(spark, sf).filter(~late).unionByName(copies(spark, sf))
-    _interrupted(spark, a, config, "a", at)
+    stage_batch(spark, a, config, "a")
+    if halfway:
+        store = survivor_table(spark, config.survivors)
+        store.append(spark.read.parquet(f"{config.survivors}/_stage/a/changes"), "a")
     run_incremental(spark, originals(spark, sf).filter(late), config, "b")
     run_incremental(spark, a, config, "a")
     return KeyedTable.daily_totals(spark, config.target).read()
@@ -726,14 +707,43 @@ def _resumed(spark: SparkSession, sf: str, at: str) -> DataFrame:
 
 @_query("incremental_resume_after_other_batch", TOTALS + "select * from totals")
 def _(spark, sf):
-    """A batch is staged and stops, another one runs, and the first is called again."""
-    return _resumed(spark, sf, "stage")
+    """A batch is staged and not applied, another one runs, and the first is called again."""
+    return _resumed(spark, sf, False)
 
 
 @_query("incremental_resume_between_commits", TOTALS + "select * from totals")
 def _(spark, sf):
-    """As above, but the first batch stops after its survivors were committed and before its totals were."""
-    return _resumed(spark, sf, "commit")
+    """As above, but the survivors of the first batch are stored and its totals are not."""
+    return _resumed(spark, sf, True)
+
+
+_ONE_ID = """
+  one_id as (
+    select * from dirty_tx
+    union all
+    select max(transaction_id), max_by(customer_id, transaction_id), 12.5::decimal(18,2),
+           timestamp '2020-02-29 12:00:00', 'KIOSK' from dirty_tx where merchant = 'purchase')"""
+
+
+@_query(
+    "incremental_one_id",
+    _with(_B, _ONE_ID, _FIRST.replace("dirty_tx", "one_id"), _TOTALS) + "select * from totals",
+)
+def _(spark, sf):
+    """All rows, then a batch of a single id: an earlier copy, which takes the amount to another day."""
+    root = storage.fresh_dir(spark, "incremental")
+    config = FlowConfig(source="", target=f"{root}/totals", survivors=f"{root}/survivors", min_result_rows=1)
+    raw = dirty_tx(spark, sf)
+    run_incremental(spark, raw, config, "all")
+    early = raw.filter("merchant = 'purchase'").agg(
+        F.max("transaction_id").alias("transaction_id"),
+        F.max_by("customer_id", "transaction_id").alias("customer_id"),
+        F.lit("12.50").cast(MONEY).alias("amount"),
+        F.to_timestamp(F.lit("2020-02-29 12:00:00")).alias("timestamp"),
+        F.lit("KIOSK").alias("merchant"),
+    )
+    run_incremental(spark, early, config, "one")
+    return KeyedTable.daily_totals(spark, config.target).read()
 
 
 _VALID_FIRST = """

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import logging
 import re
 import uuid
@@ -19,11 +18,11 @@ from txflow.sources import storage
 from txflow.sources.files import require_source
 from txflow.sources.keyed import KeyedTable
 from txflow.sources.versioned import VersionedTable
+from txflow.sources.winners import ROW_ORDER, SurvivorStore
 
 log = logging.getLogger("txflow")
 
 UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "Etc/UCT", "UCT", "Zulu", "Universal")
-ROW_ORDER = ["timestamp", "customer_id", "amount", "merchant"]
 
 
 def check_session(spark: SparkSession) -> None:
@@ -79,7 +78,7 @@ def run_daily(spark: SparkSession, config: FlowConfig, run_id: str | None = None
         batch = assert_schema(daily.totals_of(stage.rows), table.schema)
         if log.isEnabledFor(logging.INFO):
             quality.log_sample(batch, 10, table.keys)
-        version = table.upsert(batch, stored_at=stage.path)
+        version = table.upsert(batch, stored_at=stage.path, unique=True)
         loaded = quality.assert_reconciled(batch, table.read_touching(batch), table.keys)
     if config.quarantine:
         left_out = quarantined(raw, validate_first=config.validate_first)
@@ -108,22 +107,18 @@ def _report(spark, run_id, table, version, counts, loaded, minimum, severity: st
 # -- incremental run -----------------------------------------------------------
 
 
-def survivor_table(spark: SparkSession, root: str) -> VersionedTable:
-    """The surviving copy of every transaction seen so far, one folder per day."""
-    table = VersionedTable(spark, root, {"day": "to_date(timestamp)"}, sort_by=["transaction_id"])
-    table.create(RAW_TRANSACTIONS)
-    return table
+def survivor_table(spark: SparkSession, root: str) -> SurvivorStore:
+    """The surviving copy of every transaction seen so far."""
+    return SurvivorStore(spark, root)
 
 
 def changed_survivors(known: DataFrame, arrived: DataFrame) -> DataFrame:
     """Transactions whose survivor is new or moves to an earlier copy, with the row that gives way.
 
-    ``known`` and ``arrived`` hold each id once. Known rows are cut down to the ids that arrived first, which needs no
-    shuffle where the arrivals are small enough for Spark to broadcast, and shares its shuffle otherwise.
+    ``known`` and ``arrived`` hold each id once.
     """
     row = F.struct(*ROW_ORDER)
-    affected = known.join(arrived.select("transaction_id"), ["transaction_id"], "left_semi")
-    old = affected.select("transaction_id", row.alias("_old"))
+    old = known.select("transaction_id", row.alias("_old"))
     joined = arrived.select("transaction_id", row.alias("_new")).join(old, ["transaction_id"], "left")
     wins = F.col("_old").isNull() | (F.col("_new") < F.col("_old"))
     return joined.filter(wins).select(
@@ -145,30 +140,20 @@ def total_changes(changes: DataFrame) -> DataFrame:
     moved = cleanse.with_transaction_date(cleanse.valid_rows(added.unionByName(taken)))
     return (
         moved.groupBy(*rollup.TOTAL_KEYS)
-        .agg(F.sum(F.col("amount") * F.col("sign")).alias("_d_total"), F.sum("sign").alias("_d_count"))
-        .filter("_d_total <> 0 or _d_count <> 0")
-    )
-
-
-def shifted_totals(stored: DataFrame, changes: DataFrame) -> DataFrame:
-    """The new total of every changed key; a count of 0 means that the key disappears."""
-    joined = changes.join(stored, rollup.TOTAL_KEYS, "left")
-    return joined.select(
-        *rollup.TOTAL_KEYS,
-        (F.coalesce("daily_total", F.lit(0).cast(MONEY)) + F.col("_d_total")).cast(MONEY).alias("daily_total"),
-        (F.coalesce("transaction_count", F.lit(0)) + F.col("_d_count")).cast("bigint").alias("transaction_count"),
+        .agg(F.sum(F.col("amount") * F.col("sign")).cast(MONEY).alias("delta_total"), F.sum("sign").alias("delta_count"))
+        .filter("delta_total <> 0 or delta_count <> 0")
     )
 
 
 def run_incremental(spark: SparkSession, arrived: DataFrame, config: FlowConfig, batch_id: str) -> DataFrame:
     """Bring survivors and daily totals up to date with newly arrived rows; equals a full run over all rows.
 
-    A late copy that is earlier than the known survivor takes its amount from one day and
-    adds it to another; keys left without transactions are deleted. All results are worked
-    out and staged from the state before the batch, then applied. Both tables record
-    ``batch_id``: a run that was interrupted continues from its stage, and a batch that was
-    applied already changes nothing. A batch that was staged and not finished is finished
-    before any other begins, so no result is applied to a state it does not belong to.
+    A late copy that is earlier than the known survivor takes its amount from one day and adds it to another; keys left
+    without transactions are deleted. Only the buckets of the arrived ids are read, and no stored survivor is rewritten
+    (:class:`SurvivorStore`). What a batch changes is staged from the state before it and then applied in steps that may
+    each be repeated, so an interrupted run continues from its stage, and a batch that was applied already changes
+    nothing. A batch that was staged and not finished is finished before any other begins, so no result is applied to a
+    state it does not belong to.
 
     ``config.validate_first`` lets invalid copies take no part, and must be the same for all
     batches of a pair of tables. Rows that the batch itself leaves out go to
@@ -180,54 +165,59 @@ def run_incremental(spark: SparkSession, arrived: DataFrame, config: FlowConfig,
         raise ValueError("a batch id is made of letters, digits, dots, dashes and underscores")
     if not config.survivors:
         raise ValueError("an incremental run needs config.survivors")
-    survivors = survivor_table(spark, config.survivors)
-    totals = KeyedTable.daily_totals(spark, config.target)
-    stages = f"{config.target.rstrip('/')}/_stage"
-    for name, _, _ in sorted(storage.children(spark, stages)):
-        if name != batch_id and storage.exists(spark, f"{stages}/{name}/READY"):
+    for name, _, _ in sorted(storage.children(spark, f"{config.survivors.rstrip('/')}/_stage")):
+        if name != batch_id and storage.exists(spark, f"{_stage_of(config, name)}/READY"):
             log.info("finishing batch %s before %s", name, batch_id)
-            _apply_batch(spark, survivors, totals, f"{stages}/{name}", name, config)
+            apply_batch(spark, config, name)
     counts, loaded = dict.fromkeys(("raw_rows", "quarantined_rows", "deduplicated_rows", "valid_rows"), 0), 0
-    if not totals.table.has_tag(batch_id):
-        stage = f"{stages}/{batch_id}"
-        if not storage.exists(spark, f"{stage}/READY"):
-            storage.delete(spark, stage)
-            rows = conform(arrived, RAW_TRANSACTIONS)
-            if config.quarantine:
-                left_out = quarantined(rows, validate_first=config.validate_first)
-                left_out.write.mode("overwrite").parquet(f"{config.quarantine}/run={batch_id}")
-            _stage_firsts(spark, rows, stage, config.validate_first)
-            _stage_changes(spark, survivors, stage)
-        counts, loaded = _apply_batch(spark, survivors, totals, stage, batch_id, config)
-    version = totals.table.version()
-    return _report(spark, batch_id, totals, version, counts, loaded, config.min_result_rows, severity="warn")
-
-
-def _apply_batch(
-    spark: SparkSession, survivors: VersionedTable, totals: KeyedTable, stage: str, batch_id: str, config: FlowConfig
-) -> tuple[dict[str, int], int]:
-    """Apply a staged batch to both tables, whichever of them still lacks it.
-
-    Totals are shifted by the staged differences from what they are now. Differences that were worked out against an
-    older state of the survivors are worked out again from the staged arrivals.
+    if not survivor_table(spark, config.survivors).is_done(batch_id):
+        stage_batch(spark, arrived, config, batch_id)
+        counts, loaded = apply_batch(spark, config, batch_id)
+    totals = KeyedTable.daily_totals(spark, config.target)
+    return _report(spark, batch_id, totals, totals.table.version(), counts, loaded, config.min_result_rows, severity="warn")
+
+
+def _stage_of(config: FlowConfig, batch_id: str) -> str:
+    return f"{config.survivors.rstrip('/')}/_stage/{batch_id}"
+
+
+def stage_batch(spark: SparkSession, arrived: DataFrame, config: FlowConfig, batch_id: str) -> None:
+    """Work out what a batch changes and store it, without applying anything; READY is written last."""
+    stage = _stage_of(config, batch_id)
+    if storage.exists(spark, f"{stage}/READY"):
+        return
+    storage.delete(spark, stage)
+    rows = conform(arrived, RAW_TRANSACTIONS)
+    if config.quarantine:
+        left_out = quarantined(rows, validate_first=config.validate_first)
+        left_out.write.mode("overwrite").parquet(f"{config.quarantine}/run={batch_id}")
+    _stage_firsts(spark, rows, stage, config.validate_first)
+    usable = spark.read.parquet(f"{stage}/firsts").filter(cleanse.has_keys()).select(*RAW_TRANSACTIONS.names)
+    known = survivor_table(spark, config.survivors).known(usable, batch_id)
+    changed_survivors(known, usable).write.parquet(f"{stage}/changes")
+    storage.create_text(spark, f"{stage}/READY", "")
+
+
+def apply_batch(spark: SparkSession, config: FlowConfig, batch_id: str) -> tuple[dict[str, int], int]:
+    """Apply a staged batch; every step replaces what an earlier attempt at it may have left.
+
+    Survivors and differences are added to the store; the totals of the changed keys are then the sums of all
+    differences of their days, so they come out the same however often that is done.
     """
+    stage, store = _stage_of(config, batch_id), survivor_table(spark, config.survivors)
+    totals = KeyedTable.daily_totals(spark, config.target)
     counts = _arrival_counts(spark.read.parquet(f"{stage}/firsts"))
     quality.gate_min_rows("source not empty", counts["raw_rows"], config.min_source_rows, "warn")
-    loaded = 0
-    if not totals.table.has_tag(batch_id):
-        ready = json.loads(storage.read_text(spark, f"{stage}/READY"))
-        if not survivors.has_tag(batch_id):
-            if ready["version"] != survivors.version():
-                ready = _stage_changes(spark, survivors, stage)
-            rows = spark.read.parquet(f"{stage}/{ready['changes']}").select(*RAW_TRANSACTIONS.names)
-            stored = f"{stage}/{ready['changes']}"
-            survivors.merge(rows, ["transaction_id"], stored_at=stored, within=ready["folders"], tag=batch_id)
-        deltas = total_changes(spark.read.parquet(f"{stage}/{ready['changes']}"))
-        with storage.staged(shifted_totals(totals.read_touching(deltas), deltas), "shifted-totals") as shifted:
-            upserts = shifted.rows.filter("transaction_count > 0")
-            emptied = shifted.rows.filter("transaction_count = 0")
-            totals.upsert(upserts, deletes=emptied, stored_at=shifted.path, tag=batch_id)
-            loaded = quality.assert_reconciled(upserts, totals.read_touching(upserts), totals.keys)
+    changes = spark.read.parquet(f"{stage}/changes")
+    store.append(changes, batch_id)
+    store.append_deltas(total_changes(changes), batch_id)
+    with storage.staged(store.totals_after(batch_id), "changed-totals") as changed:
+        upserts = changed.rows.filter("transaction_count > 0")
+        emptied = changed.rows.filter("transaction_count = 0")
+        days = [f"transaction_date={day}" for day in store.changed_days(batch_id)]
+        totals.upsert(upserts, deletes=emptied, stored_at=changed.path, unique=True, within=days)
+        loaded = quality.assert_reconciled(upserts, totals.read_touching(within=days), totals.keys)
+    store.finish(batch_id)
     storage.delete(spark, stage)
     return counts, loaded
 
@@ -248,19 +238,6 @@ def _stage_firsts(spark: SparkSession, arrived: DataFrame, stage: str, validate_
     firsts.write.mode("errorifexists").parquet(f"{stage}/firsts")
 
 
-def _stage_changes(spark: SparkSession, survivors: VersionedTable, stage: str) -> dict:
-    """What the batch changes in the survivors as they are now; READY, written last, says which version that was."""
-    usable = spark.read.parquet(f"{stage}/firsts").filter(cleanse.has_keys()).select(*RAW_TRANSACTIONS.names)
-    version = survivors.version()
-    folders = survivors.folders_with(usable, ["transaction_id"])
-    name = f"changes-{uuid.uuid4().hex[:8]}"
-    changed_survivors(survivors.read_folders(folders), usable).write.parquet(f"{stage}/{name}")
-    ready = {"version": version, "folders": folders, "changes": name}
-    storage.delete(spark, f"{stage}/READY")
-    storage.create_text(spark, f"{stage}/READY", json.dumps(ready))
-    return ready
-
-
 def _arrival_counts(firsts: DataFrame) -> dict[str, int]:
     counted = firsts.agg(
         F.coalesce(F.sum("_raw"), F.lit(0)).alias("raw_rows"),

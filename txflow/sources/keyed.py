@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,10 +62,14 @@ class KeyedTable:
         deletes: DataFrame | None = None,
         stored_at: str | None = None,
         tag: str | None = None,
+        unique: bool = False,
+        within: Sequence[str] | None = None,
     ) -> int:
         """Insert or replace by key; with ``deletes``, also drop the keys listed there.
 
-        A batch that repeats a key needs ``sequence``, the columns that say which row is last.
+        A batch that repeats a key needs ``sequence``, the columns that say which row is last; one that was just
+        grouped by the key is ``unique`` and not checked again. A caller that knows the partitions of all keys names them
+        in ``within`` (``column=value``).
         The batch is staged first, unless it is a plain read of files at ``stored_at``.
         A batch already committed under ``tag`` is skipped.
         """
@@ -75,12 +79,16 @@ class KeyedTable:
             batch, stored_at = upsert.collapse_batch(batch, self.keys, sequence), None
         with storage.staged(conform(batch, self.schema), "upsert-batch", stored_at) as stage:
             rows = stage.rows
-            self._check_keys(rows)
-            touched = rows.select(*self.keys)
-            if deletes is not None:
-                touched = touched.unionByName(deletes.select(*self.keys))
+            if not unique:
+                self._check_keys(rows)
             base = self.table._commit_at()
-            dropped = self._folders_for(base, touched)
+            if within is None:
+                touched = rows.select(*self.keys)
+                if deletes is not None:
+                    touched = touched.unionByName(deletes.select(*self.keys))
+                dropped = self._folders_for(base, touched)
+            else:
+                dropped = self._folders_named(base, within)
             kept = self.table._scan(base, dropped)
             result = upsert.apply_upsert(kept, rows, self.keys, deletes)
             return self.table.replace(result, dropped, "UPSERT", base=base, tag=tag)
@@ -109,7 +117,10 @@ class KeyedTable:
         if not base.partition_by:
             return base.data_dirs
         values = keys.select(*[F.expr(e).alias(c) for c, e in base.partition_by.items()]).distinct().collect()
-        names = {"/".join(f"{c}={row[c]}" for c in base.partition_by) for row in values}
+        return self._folders_named(base, {"/".join(f"{c}={row[c]}" for c in base.partition_by) for row in values})
+
+    @staticmethod
+    def _folders_named(base, names: Collection[str]) -> list[str]:
         return [d for d in base.data_dirs if d.split("/", 1)[1] in names]
 
     # -- serving reads ---------------------------------------------------------
@@ -117,10 +128,10 @@ class KeyedTable:
     def read(self, version: int | None = None) -> DataFrame:
         return self.table.read(version)
 
-    def read_touching(self, keys: DataFrame) -> DataFrame:
-        """The partitions that some keys fall into, and no others."""
+    def read_touching(self, keys: DataFrame | None = None, within: Sequence[str] = ()) -> DataFrame:
+        """The partitions that some keys fall into, or those that are named, and no others."""
         base = self.table._commit_at()
-        return self.table._scan(base, self._folders_for(base, keys))
+        return self.table._scan(base, self._folders_named(base, within) if keys is None else self._folders_for(base, keys))
 
     def lookup(
         self,

@@ -34,6 +34,12 @@ def children(spark: SparkSession, path: str) -> list[tuple[str, bool, float]]:
     return [(s.getPath().getName(), s.isDirectory(), s.getModificationTime() / 1000) for s in fs.listStatus(p)]
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern with ``*`` for parts of names."""
+    fs, p = _fs(spark, pattern)
+    return [s.getPath().toString() for s in fs.globStatus(p) or []]
+
+
 def size_of(spark: SparkSession, path: str) -> int:
     """Bytes of all files below a path."""
     fs, p = _fs(spark, path)
