@@ -17,7 +17,7 @@ from txflow.operators import quality
 from txflow.plans import daily, run
 from txflow.plans.fixtures import copies, dirty_tx, originals
 from txflow.schemas import RAW_TRANSACTIONS, conform
-from txflow.sources import files, generate
+from txflow.sources import csv_records, files, generate
 from txflow.sources.keyed import KeyedTable
 from txflow.sources.versioned import VersionedTable
 from txflow.sources.winners import SurvivorStore
@@ -77,6 +77,70 @@ def test_csv_round_trip(spark, tmp_path):
     assert bad.isEmpty() and rows_of(good) == rows_of(expected)
 
 
+ODD_NAMES = ["two\nlines", "a,b", 'say "so"', '"', '""', " blanks ", "x\r\ny", "\n", "plain", "", '",\n"', "tail\\", '\\"', 'one "two', "c\n" * 40]
+
+
+@pytest.mark.parametrize("split", [None, 64, 257])
+def test_csv_of_any_text_round_trips(spark, tmp_path, split, request):
+    """Line breaks and quotes inside fields, in one file that Spark cuts anywhere."""
+    names = [ODD_NAMES[(k * 7) % len(ODD_NAMES)] for k in range(120)]
+    rows = [(f"t{k:03d}", "C1", Decimal(k + 1), AS_OF, name) for k, name in enumerate(names)]
+    path = str(tmp_path / "odd")
+    files.write_csv(spark.createDataFrame(rows, TX).coalesce(1), path)
+    if split:
+        for key, value in (("maxPartitionBytes", split), ("openCostInBytes", 0)):
+            spark.conf.set(f"spark.sql.files.{key}", value)
+            request.addfinalizer(lambda key=key: spark.conf.unset(f"spark.sql.files.{key}"))
+        assert csv_records.lines_of(spark, path).select("block").distinct().count() > 10
+    good, bad = files.read_transactions_csv(spark, path)
+    assert rows_of(good) == sorted(rows, key=str) and bad.isEmpty()
+
+
+@pytest.mark.parametrize("split", [None, 40])
+def test_unclosed_quotes_lose_nothing_silently(spark, tmp_path, split, request):
+    if split:
+        for key, value in (("maxPartitionBytes", split), ("openCostInBytes", 0)):
+            spark.conf.set(f"spark.sql.files.{key}", value)
+            request.addfinalizer(lambda key=key: spark.conf.unset(f"spark.sql.files.{key}"))
+    at = "2024-02-29 08:05:09+00:00"
+    head = "transaction_id,customer_id,amount,timestamp,merchant"
+    (tmp_path / "a.csv").write_text("\n".join([head, f"t-1,a,1.00,{at},KIOSK", f't-2,a,1.00,{at},5" PIPE', f't-3,a,1.00,{at},"OPEN', *(f"u-{k},a,1.00,{at},KIOSK" for k in range(30))]))
+    for limit in (10, 1000):
+        got = csv_records.records(spark, str(tmp_path / "a.csv"), max_lines=limit).collect()
+        assert sorted(r.record for r in got if r.record is not None) == [f"t-1,a,1.00,{at},KIOSK", f't-2,a,1.00,{at},5" PIPE']
+        assert len([r for r in got if r.record is None]) == 31
+    closed = tmp_path / "b.csv"
+    closed.write_text("\n".join([head, f't-1,a,1.00,{at},"' + "x\n" * 20 + '"', f"t-2,a,1.00,{at},KIOSK"]))
+    assert len([r for r in csv_records.records(spark, str(closed), max_lines=10).collect() if r.record is None]) == 21
+    good, bad = files.read_transactions_csv(spark, str(tmp_path / "a.csv"))
+    assert sorted(r.transaction_id for r in good.collect()) == ["t-1", "t-2"]
+    assert [r.reason for r in bad.collect()] == ["unclosed_quote"] * 31
+
+
+def test_states_of_lines_against_a_plain_reader(spark):
+    """Both ends of random lines, against one character after another."""
+    draw = random.Random(7)
+    lines = ["".join(draw.choice(['"', '""', ",", "a", " "]) for _ in range(draw.randrange(9))) for _ in range(400)]
+
+    def plain(line, inside):
+        k, start = 0, not inside
+        while k < len(line):
+            if inside and line[k] == '"':
+                if line[k + 1 : k + 2] == '"':
+                    k += 1
+                else:
+                    inside = False
+            elif not inside and line[k] == '"' and start:
+                inside = True
+            start = not inside and line[k] == ","
+            k += 1
+        return int(inside)
+
+    out, into = csv_records.ends(F.col("line"))
+    got = spark.createDataFrame([(x,) for x in lines], "line string").select("line", out, into).collect()
+    assert [tuple(r) for r in got] == [(x, plain(x, False), plain(x, True)) for x in lines]
+
+
 def test_literal_rows(spark):
     row = ("t", "C1", Decimal("1.00"), AS_OF, None)
     with pytest.raises(PySparkException):

@@ -12,8 +12,8 @@ from txflow.schemas import MONEY
 
 # The named merchants that follow the numbered stores.
 NAMED_MERCHANTS = ["ONLINE_SHOP", "GAS_STATION", "SUPERMARKET", "PHARMACY", "RESTAURANT"]
-# What no name may hold: markup brackets and control characters, signs of a damaged file.
-DAMAGED_TEXT = r"[<>\x00-\x1F\x7F]"
+# What no name may hold: markup brackets and control characters other than tabs and line breaks, signs of a damaged file.
+DAMAGED_TEXT = r"[<>\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 
 
 def customer_code(number: Column, width: int = 5) -> Column:

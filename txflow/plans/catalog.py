@@ -834,6 +834,25 @@ def _(spark, sf):
     return good.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
+@_query(
+    "csv_multiline_round_trip",
+    TX
+    + """
+select transaction_id, customer_id, amount, "timestamp",
+       case when transaction_id like '%7' then merchant || chr(10) || ',"second" line' || chr(13) || chr(10) || chr(10) || ' end '
+            when transaction_id like '%8' then '"' || merchant else merchant end as merchant
+from dirty_tx""",
+)
+def _(spark, sf):
+    """As above, with line breaks, commas, quotes and blanks inside the texts."""
+    name, last = F.col("merchant"), F.substring("transaction_id", -1, 1)
+    odd = F.when(last == "7", F.concat(name, F.lit('\n,"second" line\r\n\n end '))).when(last == "8", F.concat(F.lit('"'), name)).otherwise(name)
+    path = storage.fresh_dir(spark, "csv")
+    files.write_csv(conform(dirty_tx(spark, sf).withColumn("merchant", odd), RAW_TRANSACTIONS), path)
+    good, _ = files.read_transactions_csv(spark, path)
+    return good.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 @_query(
     "csv_sample",
     FIRST + "select * from (select * from first_tx order by transaction_id limit 20)",

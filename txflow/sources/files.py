@@ -11,7 +11,10 @@ from pyspark.sql import types as T
 from txflow.functions import columns as fx
 from txflow.operators.rollup import first_rows
 from txflow.schemas import RAW_TRANSACTIONS
-from txflow.sources import storage
+from txflow.sources import csv_records, storage
+
+EMPTY = "\x00"  # stands for a quoted empty text while it is parsed, which would be NULL otherwise
+QUOTING = {"quote": '"', "escape": '"'}
 
 
 def require_source(spark: SparkSession, path: str) -> str:
@@ -27,26 +30,26 @@ def from_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType |
 
 
 def read_transactions_csv(spark: SparkSession, path: str, damaged: str = fx.DAMAGED_TEXT) -> tuple[DataFrame, DataFrame]:
-    """Good rows in the declared schema, and quarantined lines with a reason.
+    """Good rows in the declared schema, and quarantined records with a reason.
 
-    All columns are read as text, so that a value that does not parse costs its row a
-    reason and never the whole read. A merchant is refused only if it is missing or
-    matches ``damaged``.
+    All columns are read as text, so that a value that does not parse costs its row a reason and never the whole read.
+    A merchant is refused only if it is missing or matches ``damaged``. Quoted fields may hold commas, doubled quotes
+    and line breaks, also where Spark splits the file; a quote that is never closed costs the lines after it up to the
+    next one that could close it, which are quarantined whole.
     """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW_TRANSACTIONS])
-    raw = (
-        spark.read.schema(T.StructType([*text, T.StructField("_corrupt", T.StringType())]))
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnPruning", False)
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .csv(path)
-    )
+    schema = T.StructType([*text, T.StructField("_corrupt", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "multiLine": "true", "emptyValue": EMPTY} | QUOTING
+    whole = csv_records.records(spark, path)
+    raw = whole.select(F.from_csv("record", schema.simpleString()[7:-1].replace(":", " "), options).alias("r"), "record", "line")
+    named = [F.when(F.col(f"r.{c}") == EMPTY, "").otherwise(F.col(f"r.{c}")).alias(c) for c in text.names]
+    raw = raw.select(*named, "r._corrupt", "record", "line").withColumn("_corrupt", F.when(F.col("record").isNull(), F.col("line")).otherwise(F.col("_corrupt")))
     parsed = raw.select(
         "*", fx.parse_money(F.col("amount")).alias("_amount"), fx.parse_ts(F.col("timestamp")).alias("_ts")
     )
     reason = (
-        F.when(F.col("_corrupt").isNotNull(), "malformed_line")
+        F.when(F.col("record").isNull(), "unclosed_quote")
+        .when(F.col("_corrupt").isNotNull(), "malformed_line")
         .when(F.col("transaction_id").isNull(), "null_transaction_id")
         .when(F.col("customer_id").isNull(), "null_customer_id")
         .when(F.col("_amount").isNull(), "bad_amount")
@@ -70,8 +73,12 @@ def write_sample_csv(df: DataFrame, path: str, n: int = 20, order_by: Sequence[s
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """All rows as a folder of CSV files, each with a header; times carry their offset and their fraction."""
+    """All rows as a folder of CSV files, each with a header; times carry their offset and their fraction.
+
+    Any text comes back from :func:`read_transactions_csv` as it was: blanks are kept, and quotes inside a text doubled.
+    """
     for field in df.schema:
         if isinstance(field.dataType, T.TimestampType):
             df = df.withColumn(field.name, F.date_format(field.name, "yyyy-MM-dd HH:mm:ss.SSSSSSxxx"))
-    df.write.mode("overwrite").option("header", True).csv(path)
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, **blanks, **QUOTING).csv(path)
