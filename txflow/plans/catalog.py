@@ -7,6 +7,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from txflow.config import FlowConfig
 from txflow.functions import columns as fx
@@ -15,8 +16,10 @@ from txflow.operators.dedup import dedupe, duplicate_keys
 from txflow.plans import daily
 from txflow.plans.fixtures import copies, dirty_tx, load, originals
 from txflow.plans.run import ROW_ORDER, check_session, quarantined, run_daily, run_incremental, stage_batch, survivor_table
-from txflow.schemas import DAILY_TOTALS_FLOAT, MONEY, RAW_TRANSACTIONS, conform
+from txflow.schemas import DAILY_TOTALS, DAILY_TOTALS_FLOAT, MONEY, RAW_TRANSACTIONS, conform
 from txflow.sources import files, storage
+from txflow.sources.bucketed import BucketedTable
+from txflow.sources.clustered import ClusteredTotals
 from txflow.sources.keyed import KeyedTable
 from txflow.sources.versioned import VersionedTable
 
@@ -416,6 +419,35 @@ def _(spark, sf):
     return _stored_totals(spark, sf).latest_per_customer(3)
 
 
+def _clustered(spark: SparkSession, sf: str) -> ClusteredTotals:
+    copy = ClusteredTotals(spark, storage.fresh_dir(spark, "clustered"), files=128)
+    copy.refresh(_stored_totals(spark, sf))
+    return copy
+
+
+@_query("serve_clustered_range", TOTALS + "select * from totals where customer_id = 'C00007' and transaction_date >= date '2024-01-10'")
+def _(spark, sf):
+    return _clustered(spark, sf).lookup("C00007", since=date(2024, 1, 10))
+
+
+@_query(
+    "lookup_files_read",
+    TOTALS
+    + """
+select customer_id, count(*)::bigint as days, sum(daily_total)::decimal(18,2) as total, 'at most a tenth' as files_read
+from totals where customer_id = 'C00001' group by 1""",
+)
+def _(spark, sf):
+    """All days of a customer, and whether more than a tenth of the files was opened for them."""
+    copy = _clustered(spark, sf)
+    few = len(copy.files_for("C00001")) * 10 <= copy.bounds().count()
+    return copy.lookup("C00001").groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("days"),
+        F.sum("daily_total").cast(MONEY).alias("total"),
+        F.lit("at most a tenth" if few else "more").alias("files_read"),
+    )
+
+
 @_query("serve_count", TOTALS + "select count(*)::bigint as row_count from totals")
 def _(spark, sf):
     return rollup.count_rows(_stored_totals(spark, sf).read())
@@ -524,6 +556,27 @@ def _(spark, sf):
     return table.read()
 
 
+def _bucketed(spark: SparkSession, name: str, schema: StructType, keys: list[str]) -> BucketedTable:
+    return BucketedTable(spark, storage.fresh_dir(spark, name), schema, keys, buckets=8)
+
+
+@_query("bucketed_merge_upsert", _with(_B, _SOURCE, _MERGED) + "select * from merged")
+def _(spark, sf):
+    """The merge above on a table in buckets of the id; the target is not shuffled."""
+    table = _bucketed(spark, "bucketed-raw", dirty_tx(spark, sf).schema, ["transaction_id"])
+    table.overwrite(dirty_tx(spark, sf))
+    table.merge(_merge_source(spark, sf))
+    return table.read()
+
+
+@_query("bucketed_upsert_totals", _with(_B, _BASE_BATCH) + "select * from upserted")
+def _(spark, sf):
+    table = _bucketed(spark, "bucketed-totals", DAILY_TOTALS, rollup.TOTAL_KEYS)
+    for rows in (originals(spark, sf), copies(spark, sf)):
+        table.upsert(_totals_of(rows))
+    return table.read()
+
+
 @_query(
     "merge_change_counts",
     _with(_B, _SOURCE)
