@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from txflow.sources.bucketed import BucketedTable
 from txflow.sources.clustered import ClusteredTotals
 from txflow.sources.keyed import KeyedTable
 from txflow.sources.versioned import VersionedTable
+from txflow.streaming.stateful import StreamConfig, run_available, totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -799,6 +800,20 @@ def _(spark, sf):
     return KeyedTable.daily_totals(spark, config.target).read()
 
 
+@_query("stream_equals_batch", TOTALS + "select * from totals")
+def _(spark, sf):
+    """Copies, most originals and the late purchases as three arriving files of a stateful stream, then its close."""
+    root = storage.fresh_dir(spark, "stream")
+    config = StreamConfig(f"{root}/in", f"{root}/out", delay="60 days")
+    late = F.col("merchant") == "purchase"
+    for part in (copies(spark, sf), originals(spark, sf).filter(~late), originals(spark, sf).filter(late)):
+        conform(part, RAW_TRANSACTIONS).write.mode("append").parquet(config.source)
+        run_available(spark, config)
+    latest = dirty_tx(spark, sf).agg(F.max(F.col("timestamp").cast("timestamp"))).first()[0]
+    run_available(spark, config, close_at=latest + timedelta(days=120))
+    return totals(spark, config)
+
+
 _VALID_FIRST = """
   valid_first as (
     select transaction_id, customer_id, amount, "timestamp", merchant
