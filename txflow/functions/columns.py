@@ -67,7 +67,11 @@ def time_before(ts: Column, days: Column, hours: Column, minutes: Column, second
     return ts - F.make_dt_interval(days, hours, minutes, seconds)
 
 
-def hash_draw(bound: int, *parts: Column | int | str) -> Column:
-    """Integer in ``[0, bound)`` that depends on the parts alone, never on the partitioning."""
-    args = [p if isinstance(p, Column) else F.lit(p) for p in parts]
-    return F.pmod(F.xxhash64(*args), F.lit(bound).cast("bigint"))
+def digest(*parts: Column | int | str) -> Column:
+    """MD5 of the parts joined by colons, as hex text: 128 bits that depend on the parts alone, and that SQL can repeat."""
+    return F.md5(F.concat_ws(":", *[p if isinstance(p, Column) else F.lit(p) for p in parts]).cast("binary"))
+
+
+def digest_draw(bound: int, digest: Column, number: int = 0) -> Column:
+    """Integer in ``[0, bound)`` from the first (0) to the fourth (3) quarter of a digest."""
+    return F.conv(F.substring(digest, 8 * number + 1, 8), 16, 10).cast("bigint") % F.lit(bound).cast("bigint")

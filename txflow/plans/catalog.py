@@ -17,7 +17,7 @@ from txflow.plans import daily
 from txflow.plans.fixtures import copies, dirty_tx, load, originals
 from txflow.plans.run import ROW_ORDER, check_session, quarantined, run_daily, run_incremental, stage_batch, survivor_table
 from txflow.schemas import DAILY_TOTALS, DAILY_TOTALS_FLOAT, MONEY, RAW_TRANSACTIONS, conform
-from txflow.sources import files, storage
+from txflow.sources import files, generate, storage
 from txflow.sources.bucketed import BucketedTable
 from txflow.sources.clustered import ClusteredTotals
 from txflow.sources.keyed import KeyedTable
@@ -733,6 +733,85 @@ def _(spark, sf):
     return dirty_tx(spark, sf)
 
 
+def _sql_draw(salt: str, quarter: int, bound: str, row: str = "row_no") -> str:
+    return f"(('0x' || substr(md5('42:' || {row} || ':{salt}'), {8 * quarter + 1}, 8))::bigint % {bound})"
+
+
+def _sql_time(salt: str) -> str:
+    draws = [_sql_draw(salt, k, bound) for k, bound in enumerate(("61", "24", "60", "60"))]
+    units = zip(("days", "hours", "minutes", "seconds"), draws, strict=True)
+    return "timestamp '2024-02-01 00:00:00'" + "".join(f" - to_{unit}({draw}::int)" for unit, draw in units)
+
+
+_GENERATED = f"""
+  numbers as (select event_id as row_no, md5('42:' || event_id) as d from events),
+  generated as (
+    select row_no, substr(d, 1, 8) || '-' || substr(d, 9, 4) || '-' || substr(d, 13, 4) || '-' || substr(d, 17, 4) || '-'
+             || substr(d, 21, 12) as transaction_id,
+           'C' || lpad(({_sql_draw("draw", 0, "80")} + 1)::varchar, 5, '0') as customer_id,
+           (({_sql_draw("draw", 1, "199901")} + 100)::decimal(18,2) / 100)::decimal(18,2) as amount,
+           {_sql_time("time")} as "timestamp",
+           case when {_sql_draw("draw", 2, "30")} < 25 then 'STORE_' || ({_sql_draw("draw", 2, "30")} + 1)
+                else ['ONLINE_SHOP', 'GAS_STATION', 'SUPERMARKET', 'PHARMACY', 'RESTAURANT'][{_sql_draw("draw", 2, "30")} - 24]
+           end as merchant
+    from numbers)"""
+
+_ISSUES = f"""
+  sizes as (select n, greatest(1, n // 20) as copies, greatest(1, n // 33) as zeros, greatest(1, n // 50) as negatives
+            from (select count(*) as n from events)),
+  steps as (select *, least(n + copies, zeros + negatives) as spoiled, greatest(1, n // copies) as step from sizes),
+  doubled as (
+    select * from generated
+    union all
+    select n + row_no // step, transaction_id, customer_id, amount, {_sql_time("again")}, merchant
+    from generated, steps where row_no % step = step - 1 and row_no // step < copies),
+  placed as (select *, greatest(1, (n + copies) // spoiled) as pace from doubled, steps),
+  spoilt as (select *, row_no % pace = pace - 1 and row_no // pace < spoiled as hit, row_no // pace as k from placed),
+  issues as (
+    select transaction_id, customer_id,
+           (case when hit and ((k + 1) * zeros) // spoiled > (k * zeros) // spoiled then 0
+                 when hit then -({_sql_draw("refund", 0, "50000")} + 1)::decimal(18,2) / 100 else amount end)::decimal(18,2) as amount,
+           "timestamp", merchant
+    from spoilt)"""
+
+_GENERATED_AT = datetime(2024, 2, 1)
+
+
+def _generated(spark: SparkSession, sf: str) -> DataFrame:
+    """A transaction for each event, numbered by its id."""
+    return generate.transactions(load(spark, sf, "events").select(F.col("event_id").alias("row_no")), _GENERATED_AT)
+
+
+def _local_time(df: DataFrame) -> DataFrame:
+    return df.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+@_query("generated_transactions", _with(_GENERATED) + "select * from generated")
+def _(spark, sf):
+    return _local_time(_generated(spark, sf))
+
+
+@_query("injected_issues", _with(_GENERATED, _ISSUES) + "select * from issues")
+def _(spark, sf):
+    """Copies at other times, zeros and negative amounts among the generated transactions, in exact numbers."""
+    return _local_time(generate.inject_issues(_generated(spark, sf), load(spark, sf, "events").count(), _GENERATED_AT))
+
+
+@_query(
+    "generated_totals",
+    f"""
+select 'C' || lpad((row_no // 7 + 1)::varchar, 5, '0') as customer_id,
+       date '2024-02-01' - (row_no % 7)::int as transaction_date,
+       (({_sql_draw("total", 0, "145001")} + 5000)::decimal(18,2) / 100)::decimal(18,2) as daily_total,
+       1::bigint as transaction_count
+from range((select count(distinct user_id) * 7 from events)) t(row_no)""",
+)
+def _(spark, sf):
+    """A week of totals for as many customers as the events have users."""
+    customers = load(spark, sf, "events").select(F.count_distinct("user_id")).first()[0]
+    return generate.generate_daily_totals(spark, _GENERATED_AT.date(), customers=customers)
+
+
 @_query("incremental_equals_full", TOTALS + "select * from totals")
 def _(spark, sf):
     """Copies and most originals first; the purchases arrive late, and are the earlier copies."""

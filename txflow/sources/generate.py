@@ -16,19 +16,23 @@ ZEROS_PER = 33
 NEGATIVES_PER = 50
 
 
-def _cents(low: int, high: int, *parts: Column | int | str) -> Column:
+def _cents(low: int, high: int, digest: Column, number: int = 0) -> Column:
     """Uniform amount between two bounds in cents, both included."""
-    return ((fx.hash_draw(high - low + 1, *parts) + low) / 100).cast(MONEY)
+    return ((fx.digest_draw(high - low + 1, digest, number) + low) / 100).cast(MONEY)
 
 
-def _time_back(as_of: datetime, days_back: int, row: Column, salt: str, seed: int) -> Column:
-    draw = lambda bound, unit: fx.hash_draw(bound, row, salt + unit, seed).cast("int")
-    return fx.time_before(fx.instant(as_of), draw(days_back + 1, "d"), draw(24, "h"), draw(60, "m"), draw(60, "s"))
+def _time_back(as_of: datetime, days_back: int, digest: Column) -> Column:
+    bounds = (days_back + 1, 24, 60, 60)
+    return fx.time_before(fx.instant(as_of), *[fx.digest_draw(b, digest, k).cast("int") for k, b in enumerate(bounds)])
 
 
-def generate_transactions(
-    spark: SparkSession,
-    n: int,
+def generate_transactions(spark: SparkSession, n: int, as_of: datetime, **options: int) -> DataFrame:
+    """``n`` clean transactions of the days before ``as_of``, with their ``row_no``; options as in :func:`transactions`."""
+    return transactions(spark.range(n).withColumnRenamed("id", "row_no"), as_of, **options)
+
+
+def transactions(
+    rows: DataFrame,
     as_of: datetime,
     *,
     seed: int = 42,
@@ -36,18 +40,18 @@ def generate_transactions(
     stores: int = 25,
     days_back: int = 60,
 ) -> DataFrame:
-    """``n`` clean transactions of the days before ``as_of``, with their ``row_no``."""
+    """A clean transaction for each ``row_no`` of ``rows``; it depends on that number and the seed alone."""
     row = F.col("row_no")
-    digest = F.md5(F.concat_ws(":", F.lit(seed), row).cast("binary"))
-    pieces = [F.substring(digest, start, length) for start, length in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+    name, draw, time = fx.digest(seed, row), fx.digest(seed, row, "draw"), fx.digest(seed, row, "time")
+    pieces = [F.substring(name, start, length) for start, length in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     named = len(fx.NAMED_MERCHANTS)
-    return spark.range(n).withColumnRenamed("id", "row_no").select(
+    return rows.select(
         row,
         F.concat_ws("-", *pieces).alias("transaction_id"),
-        fx.customer_code(fx.hash_draw(customers, row, "customer", seed) + 1).alias("customer_id"),
-        _cents(100, 200_000, row, "amount", seed).alias("amount"),
-        _time_back(as_of, days_back, row, "time", seed).alias("timestamp"),
-        fx.merchant_name(fx.hash_draw(stores + named, row, "merchant", seed), stores).alias("merchant"),
+        fx.customer_code(fx.digest_draw(customers, draw, 0) + 1).alias("customer_id"),
+        _cents(100, 200_000, draw, 1).alias("amount"),
+        _time_back(as_of, days_back, time).alias("timestamp"),
+        fx.merchant_name(fx.digest_draw(stores + named, draw, 2), stores).alias("merchant"),
     )
 
 
@@ -70,7 +74,7 @@ def inject_issues(df: DataFrame, n: int, as_of: datetime, *, seed: int = 42, day
     repeated = df.filter(chosen).select(
         (number + n).alias("row_no"),
         *[
-            _time_back(as_of, days_back, F.col("row_no"), "again", seed).alias(c) if c == "timestamp" else F.col(c)
+            _time_back(as_of, days_back, fx.digest(seed, F.col("row_no"), "again")).alias(c) if c == "timestamp" else F.col(c)
             for c in df.columns
             if c != "row_no"
         ],
@@ -82,7 +86,7 @@ def inject_issues(df: DataFrame, n: int, as_of: datetime, *, seed: int = 42, day
     is_zero = F.floor((number + 1) * zeros / spoiled) > F.floor(number * zeros / spoiled)
     amount = (
         F.when(hit & is_zero, F.lit(0))
-        .when(hit, -_cents(1, 50_000, row, "refund", seed))
+        .when(hit, -_cents(1, 50_000, fx.digest(seed, row, "refund")))
         .otherwise(F.col("amount"))
         .cast(MONEY)
     )
@@ -99,6 +103,6 @@ def generate_daily_totals(
     return spark.range(customers * days).select(
         fx.customer_code(number + 1).alias("customer_id"),
         fx.days_before(F.lit(as_of), back.cast("int")).alias("transaction_date"),
-        _cents(5_000, 150_000, F.col("id"), "total", seed).alias("daily_total"),
+        _cents(5_000, 150_000, fx.digest(seed, F.col("id"), "total")).alias("daily_total"),
         F.lit(1).cast("bigint").alias("transaction_count"),
     )
