@@ -20,7 +20,7 @@ from txflow.plans.fixtures import copies, dirty_tx, originals
 from txflow.plans.run import run_incremental
 from txflow.sources.keyed import KeyedTable
 from txflow.sources.storage import fresh_dir, staged
-from txflow.sources.versioned import VersionedTable
+from txflow.sources.versioned import VersionedTable, raw_layout
 
 # Pure plans: the query is built outside the clock and its rows are drained inside.
 HEADLINE = [
@@ -60,7 +60,7 @@ def _totals(spark: SparkSession, rows: DataFrame) -> KeyedTable:
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> VersionedTable:
-    table = VersionedTable(spark, fresh_dir(spark, "bench"))
+    table = VersionedTable(spark, fresh_dir(spark, "bench"), raw_layout(), sort_by=["transaction_id"])
     table.overwrite(dirty_tx(spark, sf_dir))
     return table
 

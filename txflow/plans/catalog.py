@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from txflow.config import FlowConfig
 from txflow.functions import columns as fx
-from txflow.operators import cleanse, dml, quality, rollup, upsert
+from txflow.operators import cleanse, digests, dml, quality, rollup, upsert
 from txflow.operators.dedup import dedupe, duplicate_keys
 from txflow.plans import daily
 from txflow.plans.fixtures import copies, dirty_tx, load, originals
@@ -21,7 +21,7 @@ from txflow.sources import files, generate, storage
 from txflow.sources.bucketed import BucketedTable
 from txflow.sources.clustered import ClusteredTotals
 from txflow.sources.keyed import KeyedTable
-from txflow.sources.versioned import VersionedTable
+from txflow.sources.versioned import VersionedTable, raw_layout
 from txflow.streaming.stateful import StreamConfig, run_available, totals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -591,10 +591,7 @@ def _(spark, sf):
     return dml.merge_change_counts(dirty_tx(spark, sf), _merge_source(spark, sf), ["transaction_id"])
 
 
-@_query(
-    "versioned_diff",
-    _with(_B, _FIRST, _SOURCE)
-    + """,
+_DIFF = """,
   kept as (select * from first_tx where not coalesce(amount < 0, false)),
   after_merge as (
     select * from source
@@ -607,8 +604,10 @@ select coalesce(o.transaction_id, n.transaction_id) as transaction_id,
 from first_tx o full outer join after_merge n on o.transaction_id = n.transaction_id
 where o.transaction_id is null or n.transaction_id is null
    or (o.customer_id, o.amount, o."timestamp", o.merchant)
-      is distinct from (n.customer_id, n.amount, n."timestamp", n.merchant)""",
-)
+      is distinct from (n.customer_id, n.amount, n."timestamp", n.merchant)"""
+
+
+@_query("versioned_diff", _with(_B, _FIRST, _SOURCE) + _DIFF)
 def _(spark, sf):
     table = _versioned(spark, daily.keep_first(dirty_tx(spark, sf)), by_month=True)
     table.delete(F.col("amount") < 0)
@@ -616,6 +615,51 @@ def _(spark, sf):
     return table.diff(0, 2, ["transaction_id"]).select("transaction_id", "change", "old_amount", "new_amount")
 
 
+@_query("digest_diff", _with(_B, _FIRST, _SOURCE) + _DIFF)
+def _(spark, sf):
+    """The same changes, found by digests of days and id buckets and a join within those that differ."""
+    before = daily.keep_first(dirty_tx(spark, sf))
+    after = dml.apply_merge(dml.apply_delete(before, F.col("amount") < 0), _merge_source(spark, sf), ["transaction_id"])
+    place = {"day": F.to_date("timestamp"), "bucket": digests.key_bucket(["transaction_id"], 4)}
+    found = digests.diff(before, after, ["transaction_id"], place)
+    return found.select("transaction_id", "change", "old_amount", "new_amount")
+
+
+@_query(
+    "digest_differing_leaves",
+    TX
+    + """
+select distinct "timestamp"::date as day, ('0x' || substr(md5(transaction_id), 1, 8))::bigint % 16 as bucket
+from dirty_tx where customer_id = 'C00003'""",
+)
+def _(spark, sf):
+    """The days and id buckets that an update of one customer touched."""
+    raw = dirty_tx(spark, sf)
+    changed = dml.apply_update(raw, F.col("customer_id") == "C00003", {"merchant": F.lit("MOVED")})
+    place = {"day": F.to_date("timestamp"), "bucket": digests.key_bucket(["transaction_id"], 16).cast("bigint")}
+    return digests.differing(digests.leaves(raw, place), digests.leaves(changed, place), list(place))
+
+
+@_query(
+    "update_rewrites_one_bucket",
+    TX
+    + """
+select (select count(*) from dirty_tx where transaction_id = (select max(transaction_id) from dirty_tx))::bigint as rows_updated,
+       16::bigint as folders, 1::bigint as folders_rewritten""",
+)
+def _(spark, sf):
+    """A change of one id in raw transactions as they are stored by default."""
+    raw = dirty_tx(spark, sf)
+    table = VersionedTable(spark, storage.fresh_dir(spark, "raw"), raw_layout(), sort_by=["transaction_id"])
+    table.overwrite(raw)
+    folders = lambda: {f.rsplit("/", 1)[0] for f in table.read().inputFiles()}
+    before, one = folders(), raw.agg(F.max("transaction_id")).first()[0]
+    table.update(F.col("transaction_id") == one, {"amount": fx.scaled(F.col("amount"))})
+    updated = F.col("operationMetrics")["numUpdatedRows"].cast("bigint").alias("rows_updated")
+    counts = [F.lit(n).cast("bigint").alias(c) for c, n in (("folders", len(before)), ("folders_rewritten", len(before - folders())))]
+    return table.history().limit(1).select(updated, *counts)
+
+
 @_query(
     "versioned_diff_rows",
     TX

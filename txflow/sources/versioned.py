@@ -38,6 +38,14 @@ COMMIT_SCHEMA = (
     "operationMetrics map<string,string>, tag string, data_dirs array<string>, "
     "partition_by map<string,string>, partition_types map<string,string>, schema_json string"
 )
+RAW_BUCKETS = 16
+
+
+def raw_layout(buckets: int = RAW_BUCKETS) -> dict[str, str]:
+    """How raw transactions are stored by default: by a bucket of the id, so that a change of one id rewrites one bucket."""
+    return {"id_bucket": f"cast(pmod(xxhash64(transaction_id), {int(buckets)}) as int)"}
+
+
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 PARTITION_TYPES = {"date": T.DateType(), "int": T.IntegerType(), "bigint": T.LongType()}
 
