@@ -23,7 +23,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A NULL text keeps its ``n_chars``.
     """
-    cleaned = lines.dedup_lines(docs).drop("n_lines", "n_removed")
+    cleaned = lines.dedup_lines(docs, counts=False)
     length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
     return cleaned.withColumn("n_chars", F.coalesce(length, "n_chars")).select(*[f"`{c}`" for c in docs.columns])
 

@@ -2,7 +2,7 @@ import duckdb
 import pytest
 
 SF = "/root/testdata/sf0.001"
-EXTRA = ("row", "th", "rid", "kept", "rate", "h", "n_tokens", "fingerprint", "word", "component_id", "text_sha256", "has", "id")
+EXTRA = ("row", "th", "rid", "kept", "rate", "h", "n_tokens", "fingerprint", "word", "component_id", "text_sha256", "has", "id", "n_lines", "n_removed")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in EXTRA)
 LABELS = "doc_id long, quality int, toxic int"
 

@@ -14,7 +14,7 @@ import pytest
 import corpus_pipeline
 from txflow.llm import bpe, lines, lm, mixing, simhash, toxicity, warc
 from txflow.llm.components import connected
-from txflow.llm.linear import Features
+from txflow.llm.linear import Features, Rows, Scorer, fit_logistic
 
 from .conftest import ODD, SF, frame
 
@@ -175,7 +175,7 @@ def test_later_links_of_the_chain_see_earlier_probabilities():
     rng = np.random.default_rng(1)
     n = 400
     a = rng.integers(0, 2, n)
-    rows = toxicity.Rows([(np.array([1 + x, 5 + k % 3]), np.ones(2)) for k, x in enumerate(a)], 16)
+    rows = toxicity.Rows.of([(np.array([1 + x, 5 + k % 3]), np.ones(2)) for k, x in enumerate(a)], 16)
     chain = toxicity.fit_chain(np.stack([a, a], 1).astype(float), rows, ("first", "second"), toxicity.Fit(bits=4, least=1))
     assert chain.earlier[0].shape == (0,) and chain.earlier[1].shape == (1,) and chain.earlier[1][0] > 0
     p = chain.probabilities(np.zeros((2, 2)))
@@ -184,8 +184,50 @@ def test_later_links_of_the_chain_see_earlier_probabilities():
 
 def test_words_have_all_four_prefixes():
     f = Features(18)
-    assert f.of_word("wonderful") == [f.hashed(p) for p in ("=wonderful", "4wond", "5wonde", "6wonder", "7wonderf")]
-    assert f.of_word("wonde") == [f.hashed(p) for p in ("=wonde", "4wond")]
+    words = ["wonderful", "wonde", "(Wonder)!?", "LOUD", "--", "*", "İstanbul", ""]
+    one = lambda kind, name: f.hashed(kind, [name])[0]
+    firsts = lambda bare: [one(f"first{n}", bare[:n]) if len(bare) > n else f.size for n in (4, 5, 6, 7)]
+    expected = {
+        "wonderful": [one("word", "wonderful"), *firsts("wonderful"), f.size, f.size],
+        "wonde": [one("word", "wonde"), *firsts("wonde"), f.size, f.size],
+        "(Wonder)!?": [one("word", "wonder"), *firsts("wonder"), one("marks", "!?"), f.size],
+        "LOUD": [one("word", "loud"), *firsts("loud"), f.size, one("capitals", "")],
+        "--": [one("sign", "--"), *[f.size] * 6],
+        "*": [one("sign", "*"), *[f.size] * 6],
+    }
+    got = dict(zip(words, f.of_words(words).tolist(), strict=True))
+    assert all(got[w] == row for w, row in expected.items())
+    assert got["wonde"][2:5] == [f.size] * 3
+
+
+def test_scores_are_products_of_the_features_of_texts():
+    draw = random.Random(4)
+    texts = ["", "one", "One ONE one!! -- *", " ".join("".join(draw.choice("abcdE.!") for _ in range(draw.randrange(1, 11))) for _ in range(3000))]
+    f, weights = Features(12), np.random.default_rng(0).standard_normal((1 << 12, 3))
+    got, n = Scorer(f, weights).of_texts(texts)
+    for text, row, k in zip(texts, got, n, strict=True):
+        index, weight = f.of_text(text)
+        assert (np.diff(index) > 0).all() and k == len(text.split())
+        assert np.allclose(row, weight @ weights[index])
+
+
+def test_blocks_of_rows_are_one_matrix():
+    """All sums over sparse rows against a dense matrix, with empty rows and more rows than a block."""
+    rng = np.random.default_rng(5)
+    dense = rng.random((1300, 40)) * (rng.random((1300, 40)) < 0.1)
+    dense[[0, 600, 1299]] = 0
+    rows = Rows.of([(np.flatnonzero(r), r[np.flatnonzero(r)]) for r in dense], 40)
+    dense = dense.astype(np.float32).astype(float)
+    v, x = rng.standard_normal(40), rng.standard_normal(1300)
+    assert np.allclose(rows.times(v), dense @ v) and np.allclose(rows.gathered(x), dense.T @ x)
+    assert np.allclose(rows.squares(v), np.square(dense * v).sum(1)) and np.allclose(rows.counted(x), (dense > 0).T @ x)
+    some = rng.random(40) < 0.5
+    assert np.allclose(rows.only(some).times(v), dense @ (v * some))
+    y = (dense[:, 3] > 0).astype(float)
+    used = rng.random(1300) < 0.7
+    alone = Rows.of([(np.flatnonzero(r), r[np.flatnonzero(r)]) for r in dense[used]], 40)
+    none = np.zeros((1300, 0))
+    assert np.allclose(fit_logistic(rows, none, y, used=used), fit_logistic(alone, none[used], y[used]))
 
 
 def test_toxicity_odd_rows(odd, none, labels, no_labels):

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections import Counter
-from itertools import chain, islice
+from collections.abc import Iterator
+from functools import cached_property
+from itertools import islice
 
 import numpy as np
-import xxhash
+from pandas.util import hash_array
 
 from txflow.llm.common import of_worker
 
 PREFIXES = (4, 5, 6, 7)
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-CACHE = 1 << 18
-RUN = 1 << 16
+CACHE = 3 << 17
+RUN = 1 << 15
+BLOCK = 512
 
 
 class Features:
@@ -23,60 +26,76 @@ class Features:
     def __init__(self, bits: int):
         self.size = 1 << bits
 
-    def hashed(self, name: str) -> int:
-        return xxhash.xxh64_intdigest(name) % self.size
-
-    def of_word(self, word: str) -> list[int]:
-        bare = word.strip(MARKS).lower()
-        if not bare:
-            return [self.hashed(f"!{word[:2]}")]
-        parts = [f"={bare}", *(f"{n}{bare[:n]}" for n in PREFIXES if len(bare) > n)]
-        marks = word[len(word.rstrip(MARKS)) :]
-        if len(marks) > 1:
-            parts.append(f"~{marks[-2:]}")
-        if len(word) > 2 and word.isupper():
-            parts.append("^")
-        return [self.hashed(p) for p in parts]
+    def hashed(self, kind: str, names: list[str]) -> np.ndarray:
+        """Features of a kind; names are hashed together."""
+        if not names:
+            return np.zeros(0, np.int64)
+        held = np.array(names, object)
+        return (hash_array(held, hash_key=f"{kind:0>16}", categorize=False) % np.uint64(self.size)).astype(np.int64)
+
+    def of_words(self, words: list[str]) -> np.ndarray:
+        """A row of features for each word; ``size`` stands where a word lacks one."""
+        out = np.full((len(words), len(PREFIXES) + 3), self.size)
+        inner = [w.strip(MARKS) for w in words]
+        bare = [x.lower() for x in inner]
+        long, within, whole = (np.fromiter(map(len, x), np.int64, len(words)) for x in (bare, inner, words))
+        out[:, 0] = self.hashed("word", bare)
+        for k, n in enumerate(PREFIXES, 1):
+            has = np.flatnonzero(long > n)
+            out[has, k] = self.hashed(f"first{n}", [bare[i][:n] for i in has])
+        marked = [(i, m) for i in np.flatnonzero((whole - within > 1) & (within > 0)) if len(m := words[i][len(words[i].rstrip(MARKS)) :]) > 1]
+        out[[i for i, _ in marked], -2] = self.hashed("marks", [m[-2:] for _, m in marked])
+        loud = [i for i in np.flatnonzero((whole > 2) & (within > 0)) if words[i].isupper()]
+        out[loud, -1] = self.hashed("capitals", [""])[0]
+        bald = np.flatnonzero(within == 0)
+        out[bald, 0] = self.hashed("sign", [words[i][:2] for i in bald])
+        return out
 
     def of_share(self, distinct: int, n: int) -> int:
-        return self.hashed(f"%{10 * distinct // max(n, 1)}")
+        return self.shares[10 * distinct // max(n, 1)]
+
+    @cached_property
+    def shares(self) -> list[int]:
+        return self.hashed("share", [str(k) for k in range(11)]).tolist()
 
     def of_text(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Distinct features in order, and their weights."""
         words = Counter(text.split())
         n = sum(words.values())
-        counts: Counter[int] = Counter()
-        for word, k in words.items():
-            for f in self.of_word(word):
-                counts[f] += k
-        root = np.sqrt(max(n, 1))
-        held = {f: k / root for f, k in counts.items()}
-        share = self.of_share(len(words), n)
-        held[share] = held.get(share, 0.0) + 1.0
-        index = np.fromiter(held, np.int64, len(held))
-        order = np.argsort(index)
-        return index[order], np.fromiter(held.values(), np.float64, len(held))[order]
+        each = self.of_words(list(words))
+        times = np.repeat(np.fromiter(words.values(), np.float64, len(words)), each.shape[1]) / np.sqrt(max(n, 1))
+        index, place = np.unique(np.append(each.ravel(), self.of_share(len(words), n)), return_inverse=True)
+        weight = np.bincount(place, np.append(times, 1.0))
+        there = index < self.size
+        return index[there], weight[there]
+
+
+class _Numbered(dict):
+    """Words by the order in which they were met."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
 
 
 class Scorer:
     """Products of texts' features with the columns of a weight matrix; the sums for a word are remembered."""
 
     def __init__(self, features: Features, weights: np.ndarray):
-        self.features, self.weights = features, weights
-        self.known: dict[str, int] = {}
+        self.features = features
+        self.weights = np.vstack([weights, np.zeros((1, weights.shape[1]))])  # the last row is for features that lack
+        self.known = _Numbered()
         self.table = np.zeros((CACHE, weights.shape[1]))
 
     def _sums(self, words: list[str]) -> np.ndarray:
         """The weights of each word's features, summed; words not met before are worked out together."""
         if len(self.known) + len(words) > CACHE:
             self.known.clear()
-        known, found = self.known, len(self.known)
-        rows = np.array([known.setdefault(w, len(known)) for w in words], np.int64)
-        if len(known) > found:
-            fresh = [self.features.of_word(w) for w in islice(known, found, None)]
-            flat = np.fromiter(chain.from_iterable(fresh), np.int64)
-            starts = np.cumsum([0, *map(len, fresh[:-1])])
-            self.table[found : len(known)] = np.add.reduceat(self.weights[flat], starts, axis=0)
+        found = len(self.known)
+        rows = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        if len(self.known) > found:
+            fresh = list(islice(self.known, found, None))
+            self.table[found : len(self.known)] = self.weights[self.features.of_words(fresh)].sum(1)
         return self.table[rows]
 
     def of_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -113,73 +132,97 @@ def scorer(name: str, bits: int, weights: np.ndarray) -> Scorer:
 
 
 class Rows:
-    """Sparse rows: each entry has its row, feature and weight."""
+    """Sparse rows, one after the other: features and weights of all entries, and where each row begins.
+
+    Work is done on blocks of rows, so what it needs beside the rows is small.
+    """
 
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], size: int):
-        self.index = np.concatenate([i for i, _ in rows]) if rows else np.zeros(0, np.int64)
-        self.weight = np.concatenate([w for _, w in rows]) if rows else np.zeros(0)
-        self.row = np.repeat(np.arange(len(rows)), [len(i) for i, _ in rows]) if rows else np.zeros(0, np.int64)
-        self.n, self.size = len(rows), size
+    def __init__(self, index: np.ndarray, weight: np.ndarray, start: np.ndarray, size: int):
+        self.index, self.weight, self.start = index, weight, start
+        self.n, self.size = len(start) - 1, size
+
+    @classmethod
+    def of(cls, rows: list[tuple[np.ndarray, np.ndarray]], size: int) -> Rows:
+        """Rows from pairs of features and weights."""
+        start = np.cumsum([0, *(len(i) for i, _ in rows)])
+        index, weight = (np.concatenate([r[k] for r in rows] or [np.zeros(0)]) for k in (0, 1))
+        return cls(index.astype(np.int32), weight.astype(np.float32), start, size)
+
+    def blocks(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each block: its rows, the row of each entry within it, features and weights."""
+        for a in range(0, self.n, BLOCK):
+            b = min(a + BLOCK, self.n)
+            entries = slice(self.start[a], self.start[b])
+            row = np.repeat(np.arange(b - a), np.diff(self.start[a : b + 1]))
+            yield slice(a, b), row, self.index[entries], self.weight[entries].astype(np.float64)
 
     def times(self, vector: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, self.weight * vector[self.index], self.n)
+        out = np.zeros(self.n)
+        for at, row, index, weight in self.blocks():
+            out[at] = np.bincount(row, weight * vector[index], at.stop - at.start)
+        return out
+
+    def squares(self, vector: np.ndarray) -> np.ndarray:
+        """The squared length of each row whose features are scaled by a vector."""
+        out = np.zeros(self.n)
+        for at, row, index, weight in self.blocks():
+            out[at] = np.bincount(row, np.square(weight * vector[index]), at.stop - at.start)
+        return out
 
     def gathered(self, values: np.ndarray) -> np.ndarray:
-        return np.bincount(self.index, self.weight * values[self.row], self.size)
-
-    def take(self, chosen: np.ndarray) -> Rows:
-        """The rows of a boolean choice, as a new table."""
-        out = object.__new__(Rows)
-        held = chosen[self.row]
-        out.index, out.weight = self.index[held], self.weight[held]
-        out.row = (np.cumsum(chosen) - 1)[self.row[held]]
-        out.n, out.size = int(chosen.sum()), self.size
+        out = np.zeros(self.size)
+        for at, row, index, weight in self.blocks():
+            out += np.bincount(index, weight * values[at][row], self.size)
         return out
 
+    def counted(self, values: np.ndarray) -> np.ndarray:
+        """For each feature, the sum of a value over the rows that have it."""
+        out = np.zeros(self.size)
+        for at, row, index, _ in self.blocks():
+            out += np.bincount(index, values[at][row], self.size)
+        return out
 
     def only(self, features: np.ndarray) -> Rows:
         """The same rows with the features of a boolean choice alone."""
-        out = object.__new__(Rows)
         held = features[self.index]
-        out.index, out.weight, out.row = self.index[held], self.weight[held], self.row[held]
-        out.n, out.size = self.n, self.size
-        return out
+        start = np.concatenate([[0], np.cumsum(held)])[self.start]
+        return Rows(self.index[held], self.weight[held], start, self.size)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def log_odds(rows: Rows, y: np.ndarray, smooth: float = 1.0) -> np.ndarray:
-    """Log ratio of each feature's document frequency in the positive and the negative rows."""
-    pos = np.bincount(rows.index, y[rows.row], rows.size)
-    neg = np.bincount(rows.index, 1 - y[rows.row], rows.size)
-    n_pos, n_neg = max(y.sum(), 1), max((1 - y).sum(), 1)
+def log_odds(rows: Rows, y: np.ndarray, used: np.ndarray, smooth: float = 1.0) -> np.ndarray:
+    """Log ratio of each feature's document frequency in the positive and the negative rows that are used."""
+    pos, neg = rows.counted(y * used), rows.counted((1 - y) * used)
+    n_pos, n_neg = max((y * used).sum(), 1), max(((1 - y) * used).sum(), 1)
     return np.log((pos + smooth) / (n_pos + 2 * smooth)) - np.log((neg + smooth) / (n_neg + 2 * smooth))
 
 
-def fit_logistic(rows: Rows, extra: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1e-4) -> np.ndarray:
-    """Weights of features, then of the dense columns ``extra``, then the bias.
+def fit_logistic(
+    rows: Rows, extra: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1e-4, used: np.ndarray | None = None
+) -> np.ndarray:
+    """Weights of features, then of the dense columns ``extra``, then the bias; ``used`` chooses rows, by default all.
 
     Features are scaled by their log odds before the fit, so that informative ones move first; full gradient steps with
     momentum, without randomness. A class that is empty gives weights of zero and a bias at the smoothed rate.
     """
-    n, k = rows.n, extra.shape[1]
+    used = np.ones(rows.n) if used is None else used.astype(float)
+    n, k, hits = used.sum(), extra.shape[1], (y * used).sum()
     w = np.zeros(rows.size + k + 1)
-    rate = (y.sum() + 0.5) / (n + 1)
+    rate = (hits + 0.5) / (n + 1)
     w[-1] = np.log(rate / (1 - rate))
-    if not 0 < y.sum() < n:
+    if not 0 < hits < n:
         return w
-    scale = log_odds(rows, y)
-    scaled = object.__new__(Rows)
-    scaled.__dict__ = {**rows.__dict__, "weight": rows.weight * scale[rows.index]}
-    norm = np.bincount(scaled.row, scaled.weight**2, n) + (extra**2).sum(1) + 1
-    step, u, v = 4 / norm.mean(), np.zeros_like(w), np.zeros_like(w)
+    scale = log_odds(rows, y, used)
+    norm = rows.squares(scale) + (extra**2).sum(1) + 1
+    step, u, v = 4 / ((norm * used).sum() / n), np.zeros_like(w), np.zeros_like(w)
     u[-1] = w[-1]
     for _ in range(steps):
         ahead = u + 0.9 * v
-        miss = sigmoid(scaled.times(ahead[: rows.size]) + extra @ ahead[rows.size : -1] + ahead[-1]) - y
-        grad = np.concatenate([scaled.gathered(miss), extra.T @ miss, [miss.sum()]]) / n
+        miss = (sigmoid(rows.times(scale * ahead[: rows.size]) + extra @ ahead[rows.size : -1] + ahead[-1]) - y) * used
+        grad = np.concatenate([scale * rows.gathered(miss), extra.T @ miss, [miss.sum()]]) / n
         grad[:-1] += ridge * ahead[:-1]
         v = 0.9 * v - step * grad
         u = u + v

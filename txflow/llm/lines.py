@@ -12,7 +12,7 @@ def _trimmed(line: Column) -> Column:
     return F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
 
 
-def dedup_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def dedup_lines(docs: DataFrame, width: int = WIDTH, counts: bool = True) -> DataFrame:
     """All rows and columns of ``docs``, with later occurrences of repeated windows taken out of ``text``.
 
     A window is ``width`` consecutive lines that are not blank, compared without white space at their ends. Its first
@@ -22,12 +22,13 @@ def dedup_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     NULL text stays NULL, with 0 lines. Documents of fewer lines than ``width`` have no window and stay as they are.
     Repeated rows (same doc_id and text) count as one document and all get the same text. Rows of one doc_id with
-    different texts are different documents. Input columns named ``n_lines`` or ``n_removed`` are replaced.
+    different texts are different documents. Input columns named ``n_lines`` or ``n_removed`` are replaced; without
+    ``counts`` nothing is added, and they stay.
 
     Windows travel as 64-bit hashes; the first occurrence is a grouped minimum, partial before the shuffle, so a window
     that everyone shares is small. Texts are shuffled once, to meet the places to remove.
     """
-    rest = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    rest = [c for c in docs.columns if not counts or c not in ("n_lines", "n_removed")]
     base = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"),
         F.coalesce("doc_id", F.lit(0)).alias("id"),
@@ -56,8 +57,11 @@ def dedup_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     keep = F.array_except(F.sequence(F.lit(0), F.size("all") - 1), F.col("drop"))
     left = F.array_join(F.transform(keep, lambda i: F.get("all", i)), "\n")
     text = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(left)
+    same_columns = [text.alias("text") if c == "text" else F.col(f"row.`{c}`") for c in rest]
+    if not counts:
+        return out.select(*same_columns)
     return out.select(
-        *[text.alias("text") if c == "text" else F.col(f"row.`{c}`") for c in rest],
+        *same_columns,
         F.greatest(F.size("held"), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.when(F.col("spans").isNotNull(), F.size("drop")), F.lit(0)).cast("long").alias("n_removed"),
     )

@@ -81,19 +81,18 @@ def sample(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], fit:
 
     schema = "doc_id long, " + ", ".join(f"{c} double" for c in categories) + ", i array<int>, w array<float>"
     held = held.withColumn("doc_id", F.col("doc_id").cast("long"))
-    got = held.mapInArrow(run, schema).toArrow().sort_by("doc_id")
-    y = np.stack([got.column(c).to_numpy() for c in categories], axis=1) if got.num_rows else np.zeros((0, len(categories)))
-    pairs = [
-        (np.asarray(i.values, np.int64), np.asarray(w.values, np.float64))
-        for i, w in zip(got.column("i"), got.column("w"), strict=True)
-    ]
-    return y, Rows(pairs, 1 << bits)
+    got = held.mapInArrow(run, schema).toArrow().sort_by("doc_id").combine_chunks()
+    if not got.num_rows:
+        return np.zeros((0, len(categories))), Rows.of([], 1 << bits)
+    y = np.stack([got.column(c).to_numpy() for c in categories], axis=1)
+    index, weight = got.column("i").chunk(0), got.column("w").chunk(0)
+    start = np.concatenate([[0], np.cumsum(index.value_lengths().to_numpy())])
+    return y, Rows(index.flatten().to_numpy(), weight.flatten().to_numpy(), start, 1 << bits)
 
 
 def fit_chain(y: np.ndarray, rows: Rows, categories: tuple[str, ...], fit: Fit) -> Chain:
     """Fit the chain; later categories learn from out-of-fold probabilities of earlier ones, as they will meet them."""
-    often = np.bincount(rows.index, minlength=rows.size) >= fit.least
-    rows = rows.only(often)
+    rows = rows.only(np.bincount(rows.index, minlength=rows.size) >= fit.least)
     n, k = y.shape
     fold = np.arange(n) % fit.folds
     out, weights, earlier, bias, thresholds = np.zeros((n, k)), np.zeros((rows.size, k)), [], np.zeros(k), np.ones(k) * 2
@@ -101,8 +100,8 @@ def fit_chain(y: np.ndarray, rows: Rows, categories: tuple[str, ...], fit: Fit)
         seen = out[:, :j]
         for f in range(fit.folds if n >= fit.folds else 0):
             inside, outside = fold == f, fold != f
-            w = fit_logistic(rows.take(outside), seen[outside], y[outside, j], fit.steps)
-            out[inside, j] = sigmoid(rows.take(inside).times(w[: rows.size]) + seen[inside] @ w[rows.size : -1] + w[-1])
+            w = fit_logistic(rows, seen, y[:, j], fit.steps, used=outside)
+            out[inside, j] = sigmoid(rows.times(w[: rows.size]) + seen @ w[rows.size : -1] + w[-1])[inside]
         w = fit_logistic(rows, seen, y[:, j], fit.steps)
         weights[:, j], bias[j] = w[: rows.size], w[-1]
         earlier.append(w[rows.size : -1])
