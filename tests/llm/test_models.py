@@ -217,7 +217,6 @@ def test_blocks_of_rows_are_one_matrix():
     dense = rng.random((1300, 40)) * (rng.random((1300, 40)) < 0.1)
     dense[[0, 600, 1299]] = 0
     rows = Rows.of([(np.flatnonzero(r), r[np.flatnonzero(r)]) for r in dense], 40)
-    dense = dense.astype(np.float32).astype(float)
     v, x = rng.standard_normal(40), rng.standard_normal(1300)
     assert np.allclose(rows.times(v), dense @ v) and np.allclose(rows.gathered(x), dense.T @ x)
     assert np.allclose(rows.squares(v), np.square(dense * v).sum(1)) and np.allclose(rows.counted(x), (dense > 0).T @ x)

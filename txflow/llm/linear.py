@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cached_property
 from itertools import islice
 
@@ -16,7 +16,7 @@ PREFIXES = (4, 5, 6, 7)
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 CACHE = 3 << 17
 RUN = 1 << 15
-BLOCK = 512
+BLOCK = 2048
 
 
 class Features:
@@ -138,7 +138,7 @@ class Rows:
     """
 
     def __init__(self, index: np.ndarray, weight: np.ndarray, start: np.ndarray, size: int):
-        self.index, self.weight, self.start = index, weight, start
+        self.index, self.weight, self.start = index.astype(np.int64), weight.astype(np.float64), start
         self.n, self.size = len(start) - 1, size
 
     @classmethod
@@ -146,41 +146,45 @@ class Rows:
         """Rows from pairs of features and weights."""
         start = np.cumsum([0, *(len(i) for i, _ in rows)])
         index, weight = (np.concatenate([r[k] for r in rows] or [np.zeros(0)]) for k in (0, 1))
-        return cls(index.astype(np.int32), weight.astype(np.float32), start, size)
+        return cls(index, weight, start, size)
 
-    def blocks(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
-        """For each block: its rows, the row of each entry within it, features and weights."""
+    def _blocks(self) -> Iterator[tuple[slice, slice, np.ndarray]]:
+        """For each block: its rows, their entries and the number of entries of each row."""
         for a in range(0, self.n, BLOCK):
             b = min(a + BLOCK, self.n)
-            entries = slice(self.start[a], self.start[b])
-            row = np.repeat(np.arange(b - a), np.diff(self.start[a : b + 1]))
-            yield slice(a, b), row, self.index[entries], self.weight[entries].astype(np.float64)
+            yield slice(a, b), slice(self.start[a], self.start[b]), np.diff(self.start[a : b + 1])
 
-    def times(self, vector: np.ndarray) -> np.ndarray:
+    def _by_row(self, each: Callable[[slice], np.ndarray]) -> np.ndarray:
+        """The sum over each row of a value of its entries."""
         out = np.zeros(self.n)
-        for at, row, index, weight in self.blocks():
-            out[at] = np.bincount(row, weight * vector[index], at.stop - at.start)
+        for rows, entries, sizes in self._blocks():
+            full = np.flatnonzero(sizes)
+            if len(full):
+                at = self.start[rows][full] - entries.start
+                out[rows.start + full] = np.add.reduceat(each(entries), at)
+        return out
+
+    def _by_feature(self, values: np.ndarray, weight: np.ndarray | None) -> np.ndarray:
+        """For each feature, the sum over the rows that have it of a value, times the entry's weight if there is one."""
+        out = np.zeros(self.size)
+        for rows, entries, sizes in self._blocks():
+            each = np.repeat(values[rows], sizes)
+            out += np.bincount(self.index[entries], each if weight is None else each * weight[entries], self.size)
         return out
 
+    def times(self, vector: np.ndarray) -> np.ndarray:
+        return self._by_row(lambda at: self.weight[at] * vector[self.index[at]])
+
     def squares(self, vector: np.ndarray) -> np.ndarray:
         """The squared length of each row whose features are scaled by a vector."""
-        out = np.zeros(self.n)
-        for at, row, index, weight in self.blocks():
-            out[at] = np.bincount(row, np.square(weight * vector[index]), at.stop - at.start)
-        return out
+        return self._by_row(lambda at: np.square(self.weight[at] * vector[self.index[at]]))
 
     def gathered(self, values: np.ndarray) -> np.ndarray:
-        out = np.zeros(self.size)
-        for at, row, index, weight in self.blocks():
-            out += np.bincount(index, weight * values[at][row], self.size)
-        return out
+        return self._by_feature(values, self.weight)
 
     def counted(self, values: np.ndarray) -> np.ndarray:
         """For each feature, the sum of a value over the rows that have it."""
-        out = np.zeros(self.size)
-        for at, row, index, _ in self.blocks():
-            out += np.bincount(index, values[at][row], self.size)
-        return out
+        return self._by_feature(values, None)
 
     def only(self, features: np.ndarray) -> Rows:
         """The same rows with the features of a boolean choice alone."""
