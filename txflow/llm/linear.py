@@ -14,7 +14,7 @@ from txflow.llm.common import of_worker
 
 PREFIXES = (4, 5, 6, 7)
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-CACHE = 3 << 17
+CACHE = 3 << 18
 RUN = 1 << 15
 BLOCK = 2048
 
