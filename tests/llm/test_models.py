@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from txflow.llm import bpe, lines, lm, mixing, simhash, toxicity, warc
@@ -138,6 +139,24 @@ def test_lm_learns_order(spark):
     assert all(r.score > r.base_score + 5 for r in got) and got
 
 
+def test_lm_does_not_depend_on_partitions(spark, docs):
+    """The same scores for any layout, and a held-out gain over the base that does not fade with more tasks."""
+    scores, gains = [], []
+    for parts in (1, 8, 32):
+        got = {r.doc_id: r for r in lm.score(docs.repartition(parts)).collect()}
+        scores.append(np.array([got[i].score for i in sorted(got)]))
+        held = [r for r in got.values() if r.held_out]
+        gains.append(sum(r.score - r.base_score for r in held) / sum(r.n_tokens for r in held))
+    assert np.allclose(scores[0], scores[1], rtol=1e-3) and np.allclose(scores[0], scores[2], rtol=1e-3)
+    assert min(gains) > 0.02 and max(gains) - min(gains) < 1e-3
+
+
+def test_lm_shards_are_averaged(spark, docs):
+    """Many small shards still learn."""
+    got = lm.score(docs, lm.Shape(shard=2000)).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
+    assert got.s > got.b
+
+
 def test_lm_odd_rows(spark, odd, none):
     got = lm.score(odd, SMALL).collect()
     assert len(got) == len(ODD) and {r.n_tokens for r in got if r.doc_id in (1, 2, 3)} == {1}

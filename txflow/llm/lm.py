@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from txflow.llm.common import written
 
 SEED = 42
+SLOTS = 10
 FLUSH = 400_000
 CACHE = 1 << 18
 
@@ -30,8 +31,10 @@ CACHE = 1 << 18
 class Shape:
     """Sizes of the model, which bound what is broadcast, and of its training.
 
-    ``rounds`` are shares of the training documents: each round trains on the next share, every task on its own rows
-    from the same start, and averages the tasks by their tokens. Together the rounds take every training document once.
+    Training goes in ``SLOTS`` rounds, which together take every training document once. A round deals its documents by
+    a hash to shards of about ``shard`` tokens, however Spark has partitioned them; every shard goes on from the same
+    weights and sums of squared gradients, and both are averaged by the shards' tokens. So a shard's steps do not
+    become fewer as the corpus grows or is cut into more tasks; there are only more of them to average.
     """
 
     words: int = 1000
@@ -41,7 +44,7 @@ class Shape:
     noise: int = 48
     batch: int = 1024
     rate: float = 0.05
-    rounds: tuple[int, ...] = (1, 9)
+    shard: int = 1 << 19
 
     @property
     def outcomes(self) -> int:
@@ -134,7 +137,7 @@ def _prepared(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("rid"),
         F.col("doc_id").cast("long").alias("doc_id"),
         (crc % 5 == 1).alias("held_out"),
-        (F.floor(crc / 5) % 10).cast("int").alias("slot"),
+        (F.floor(crc / 5) % SLOTS).cast("int").alias("slot"),
         F.col("text").cast("binary").alias("text"),
     )
 
@@ -224,13 +227,16 @@ def _add_rows(size: int, index: np.ndarray, values: np.ndarray) -> np.ndarray:
 class Trainer:
     """Noise-contrastive estimation with noise words shared by a minibatch, and Adagrad steps."""
 
-    def __init__(self, v: Vocabulary, start: Weights):
+    def __init__(self, v: Vocabulary, start: Weights, sums: np.ndarray | None = None, seed: tuple[int, ...] = ()):
         self.shape, self.noise = v.shape, v.unigram()
         self.log_noise = np.log(self.shape.noise * self.noise).astype(np.float32)
         self.cdf = np.cumsum(self.noise)
         self.w = Weights(*(x.copy() for x in (start.r1, start.r2, start.q, start.b)))
         self.sums = [np.full(x.shape, 1e-7, np.float32) for x in (self.w.r1, self.w.r2, self.w.q, self.w.b)]
-        self.draw, self.tokens = np.random.default_rng(SEED), 0
+        if sums is not None:
+            held = Weights.from_stacked(sums, v.shape.outcomes)
+            self.sums = [held.r1.copy(), held.r2.copy(), held.q.copy(), held.b]
+        self.draw, self.tokens = np.random.default_rng([SEED, *seed]), 0
 
     def step(self, a: np.ndarray, b: np.ndarray, y: np.ndarray) -> None:
         w, k, n = self.w, self.shape.noise, len(y)
@@ -262,47 +268,71 @@ def _contexts(y: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[start], y[:-1]]), np.concatenate([[start, start], y[:-2]])[: len(y)]
 
 
+def outcomes(rows: DataFrame, v: Vocabulary) -> DataFrame:
+    """The training documents as outcomes: ``slot``, a hash ``h``, their number ``n`` and ``y``, 16 bits each; stored."""
+    sent = rows.sparkSession.sparkContext.broadcast(v)
+    assert v.shape.outcomes < 1 << 15
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, end = Tokens(sent.value), sent.value.shape.outcomes - 1
+        for batch in batches:
+            ys = [np.append(tokens.of(_words(t))[0], end).astype("<i2") for t in batch.column("text").to_pylist()]
+            arrays = [batch.column("slot"), batch.column("h"), pa.array([len(y) for y in ys], pa.int64()), pa.array([y.tobytes() for y in ys], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["slot", "h", "n", "y"])
+
+    kept = rows.where(~F.col("held_out")).select("slot", F.xxhash64("doc_id", "text").alias("h"), "text")
+    return written(kept.mapInArrow(run, "slot int, h long, n long, y binary"), "lm-outcomes")
+
+
 def train(rows: DataFrame, v: Vocabulary) -> Weights:
-    """Average the tasks' models round by round; a bounded table of sums comes to the driver."""
+    """Train shard by shard and average round by round; a bounded table of sums comes to the driver."""
     spark, shape = rows.sparkSession, v.shape
-    weights, n, begin = Weights.initial(v), shape.outcomes, 0
-    columns = [f"x{i}" for i in range(shape.width + 1)]
-    for share in shape.rounds:
-        part = rows.where(~F.col("held_out") & F.col("slot").between(begin, begin + share - 1)).select("text")
-        begin += share
-        sent = spark.sparkContext.broadcast((v, weights))
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            v, weights = sent.value
-            trainer, tokens, end = Trainer(v, weights), Tokens(v), v.shape.outcomes - 1
-            held: list[tuple] = []
+    weights, sums, n, width = Weights.initial(v), None, shape.outcomes, shape.width + 1
+    stored = outcomes(rows, v)
+    sizes = {r["slot"]: r["n"] for r in stored.groupBy("slot").agg(F.sum("n").alias("n")).collect()}
+    columns = [f"x{i}" for i in range(2 * width)]
+    for slot in sorted(sizes):
+        shards = max(1, round(sizes[slot] / shape.shard))
+        part = stored.where(F.col("slot") == slot).select(F.pmod("h", F.lit(shards)).cast("int").alias("shard"), "h", "y")
+        dealt = part.repartitionById(shards, "shard").sortWithinPartitions("shard", "h", "y")
+        sent = spark.sparkContext.broadcast((v, weights, sums))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, slot=slot) -> Iterator[pa.RecordBatch]:
+            v, weights, sums = sent.value
+            trainer, number, end, size, held = None, None, v.shape.outcomes - 1, 0, []
 
             def learn() -> None:
                 if held:
                     trainer.epoch(*(np.concatenate(x) for x in zip(*held, strict=True)))
                     held.clear()
 
-            size = 0
+            def result() -> pa.RecordBatch:
+                learn()
+                states = trainer.w, Weights(*trainer.sums)
+                wide = np.concatenate([x.stacked() for x in states], 1) * trainer.tokens
+                arrays = [pa.array(np.arange(len(wide))), pa.array(np.full(len(wide), trainer.tokens)), *map(pa.array, wide.T)]
+                return pa.RecordBatch.from_arrays(arrays, ["row", "n", *columns])
+
             for batch in batches:
-                for text in batch.column("text").to_pylist():
-                    y = np.append(tokens.of(_words(text))[0], end)
+                for shard, data in zip(batch.column("shard").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                    if shard != number:
+                        if trainer is not None:
+                            yield result()
+                        trainer, number, size = Trainer(v, weights, sums, (slot, shard)), shard, 0
+                    y = np.frombuffer(data, "<i2").astype(np.int32)
                     held.append((*_contexts(y, end + 1), y))
                     size += len(y)
                     if size >= 1 << 18:
                         learn()
                         size = 0
-            learn()
-            if trainer.tokens:
-                wide = trainer.w.stacked() * trainer.tokens
-                arrays = [pa.array(np.arange(len(wide))), pa.array(np.full(len(wide), trainer.tokens)), *map(pa.array, wide.T)]
-                yield pa.RecordBatch.from_arrays(arrays, ["row", "n", *columns])
+            if trainer is not None:
+                yield result()
 
         schema = "row long, n long, " + ", ".join(f"{c} double" for c in columns)
-        means = part.mapInArrow(run, schema).groupBy("row").agg(*[(F.sum(c) / F.sum("n")).alias(c) for c in columns])
+        means = dealt.mapInArrow(run, schema).groupBy("row").agg(*[(F.sum(c) / F.sum("n")).alias(c) for c in columns])
         got = means.toArrow()
-        if got.num_rows:
-            wide = np.stack([got.column(c).to_numpy() for c in columns], 1)
-            weights = Weights.from_stacked(wide[np.argsort(got.column("row").to_numpy())], n)
+        wide = np.stack([got.column(c).to_numpy() for c in columns], 1)[np.argsort(got.column("row").to_numpy())]
+        weights, sums = Weights.from_stacked(wide[:, :width], n), np.maximum(wide[:, width:], 1e-7)
     return weights
 
 
@@ -351,7 +381,8 @@ def score(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     training documents every count is 0. Only ``doc_id`` and ``text`` are read.
 
     Counts of all training words stay in Spark. What is broadcast is bounded by ``shape``. Words outside the frequent
-    ones meet their counts in a shuffle by word hash; none of them is common, as a common word is a frequent one.
+    ones meet their counts in a shuffle by word hash, once for each document that has them. Texts may be very long: they
+    are taken whole, and a task holds one batch of them.
     """
     spark = docs.sparkSession
     rows = _prepared(docs)
@@ -359,7 +390,7 @@ def score(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     v = vocabulary(rows, counts, shape)
     scores = tables(spark, train(rows, v))
     sent = spark.sparkContext.broadcast((v, scores))
-    fields = "rid long, doc_id long, held_out boolean, n_tokens long, known long, base double, model double, tail array<long>"
+    fields = "rid long, doc_id long, held_out boolean, n_tokens long, known long, base double, model double, tail array<long>, times array<int>"
     names = [x.split(" ")[0] for x in fields.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -378,27 +409,29 @@ def score(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
                 model = scores.log10(*_contexts(y, end + 1), y).sum(dtype=np.float64) - inside[y[rare] - m].sum()
                 base = plain[y].sum() - len(y) * np.log10(v.base)
                 known = len(y) - len(tail) - (0 if v.documents else 1)
-                out.append((len(y), known, base, model, tail))
+                out.append((len(y), known, base, model, *np.unique(tail, return_counts=True)))
             columns = [batch.column(c) for c in names[:3]]
             columns += [pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
-            columns.append(pa.array([x[4] for x in out], pa.list_(pa.int64())))
+            columns += [pa.array([x[4] for x in out], pa.list_(pa.int64())), pa.array([x[5] for x in out], pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     judged = rows.select("rid", "doc_id", "held_out", "text").mapInArrow(run, fields)
     own = ["doc_id", "held_out", "n_tokens", "known", "base", "model"]
-    spread = judged.select("rid", *own, F.posexplode_outer("tail").alias("i", "h"))
+    spread = judged.select("rid", *own, F.posexplode_outer(F.arrays_zip("tail", "times")).alias("i", "word"))
+    spread = spread.select("rid", *own, "i", F.col("word.tail").alias("h"), F.col("word.times").alias("times"))
     first = F.coalesce(F.col("i"), F.lit(0)) == 0
     spread = spread.select(
         "rid",
         *[F.when(first, F.col(c)).alias(c) for c in own],
         F.col("h").isNotNull().alias("has"),
+        "times",
         F.coalesce("h", F.xxhash64("rid")).alias("h"),  # rows without such words are dealt out, not sent to one task
     )
     table = counts.select(F.xxhash64("word").alias("h"), "c").hint("shuffle_hash")
     met = spread.join(table, "h", "left").withColumn("c", F.when(F.col("has"), F.coalesce("c", F.lit(0))))
     each = [F.max(c).alias(c) for c in own]
-    log_c = F.coalesce(F.sum(F.log10(F.col("c") + 0.5)), F.lit(0.0))
-    done = met.groupBy("rid").agg(*each, log_c.alias("log_c"), F.count(F.when(F.col("c") > 0, 1)).alias("more"))
+    log_c = F.coalesce(F.sum(F.col("times") * F.log10(F.col("c") + 0.5)), F.lit(0.0))
+    done = met.groupBy("rid").agg(*each, log_c.alias("log_c"), F.coalesce(F.sum(F.when(F.col("c") > 0, F.col("times"))), F.lit(0)).alias("more"))
     return done.select(
         "doc_id",
         "held_out",
