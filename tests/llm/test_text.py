@@ -1,6 +1,7 @@
 """Native operators, line dedup and BPE against brute force, on odd rows and empty tables."""
 
 import hashlib
+import itertools
 import random
 from collections import Counter
 
@@ -168,16 +169,68 @@ def test_bpe_streams_long_pieces(coder, library):
 
 
 def test_stream_emits_before_the_piece_ends_and_keeps_little(coder):
-    taken = 0
+    taken, merges = 0, coder.merges
+    assert merges.proper and merges.longest < merges.lookahead < 1000
 
     def symbols():
         nonlocal taken
-        for c in b"internationalisation" * 500:
-            taken += 1
-            yield coder.inner[c]
-
-    next(coder.merges.stream(symbols()))
-    assert taken < 20 * coder.merges.longest <= coder.merges.sufficient_lookahead()
+        for block in ["internationalisation"] * 500:
+            taken += len(block)
+            yield block
+
+    next(merges.stream(symbols()))
+    assert taken <= merges.lookahead + merges.longest + len("internationalisation")
+
+
+def test_all_tokens_come_from_the_transducer(texts):
+    coder, streamed, whole = bpe.WordBpe(bpe.public_path()), [], bpe.Merges.stream
+    coder.merges.stream = lambda blocks: [streamed.append(t) or t for t in whole(coder.merges, blocks)]
+    got = {t for text in texts.values() for t in ids(coder, text)}
+    pieces = {m[0] for text in texts.values() for m in coder.cut.finditer(coder.normal(text))}
+    assert got and got == set(streamed) and len(streamed) >= len(pieces) > 1000
+
+
+def random_merges(rng, alphabet, n):
+    """A proper list: each pair of known tokens makes a new token, after its parts."""
+    letters = {k: x for k, x in enumerate(alphabet)}
+    spell, pairs = dict(letters), {}
+    while len(pairs) < n:
+        a, b = rng.choice(list(spell)), rng.choice(list(spell))
+        if spell[a] + spell[b] not in spell.values():
+            pairs[a, b] = (len(pairs), len(spell))
+            spell[len(spell)] = spell[a] + spell[b]
+    return bpe.Merges(pairs, {t: len(x) for t, x in spell.items()}, letters), spell
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_lookahead_is_sufficient_for_any_merge_list(seed):
+    """Tokens that end a lookahead before the last symbol stay under every continuation; the stream is the plain merge."""
+    rng = random.Random(seed)
+    merges, spell = random_merges(rng, "ab" if seed % 2 else "abc", rng.randrange(1, 14))
+    number = {x: t for t, x in spell.items()}
+    for _ in range(60):
+        text = "".join(rng.choice("ab" if seed % 2 else "abc") for _ in range(rng.randrange(1, 60)))
+        whole = merges.merge([number[c] for c in text])
+        assert list(merges.stream(text)) == list(merges.stream([text])) == whole
+        ends = list(itertools.accumulate(len(spell[t]) for t in whole))
+        for cut in range(1, len(text)):
+            short = merges.merge([number[c] for c in text[:cut]])
+            places = itertools.accumulate(len(spell[t]) for t in short)
+            stable = [t for t, place in zip(short, places) if place <= cut - merges.lookahead]
+            assert whole[: len(stable)] == stable and all(x == y for x, y in zip(ends, itertools.accumulate(len(spell[t]) for t in stable)))
+
+
+def test_list_with_two_ways_to_a_token_gets_the_general_bound():
+    letters = {0: "a", 1: "b", 2: "c"}
+    merges = bpe.Merges({(0, 1): (0, 3), (1, 2): (1, 4), (3, 2): (2, 5), (0, 4): (3, 5)}, {0: 1, 1: 1, 2: 1, 3: 2, 4: 2, 5: 3}, letters)
+    assert not merges.proper and merges.lookahead == 4 * 3
+    assert list(merges.stream("abcabca" * 30)) == merges.merge([ord(c) - ord("a") for c in "abcabca" * 30])
+
+
+def test_whole_ids_are_given_too(odd, library):
+    for row in bpe.encode_tokens(odd, bpe.public_path()).where("doc_id is not null").collect():
+        wanted = [library.encode(t or "", add_special_tokens=False).ids for i, t in ODD if i == row.doc_id]
+        assert row.ids in wanted
 
 
 def test_byte_decoder_is_incremental(coder):

@@ -1,10 +1,10 @@
 """BPE encoding as a streaming transducer with bounded lookahead, and decoding as a byte-to-text state machine.
 
-A piece (the text between pre-tokenizer cuts) is fed symbol by symbol. For every prefix the tokenization has one last
-token, so the tokenizations of all prefixes form a tree. A later token can begin only at one of the last ``longest``
-places, because no token is longer; as soon as the paths from all of these places share their first tokens, no
-continuation can change them, and they are emitted and forgotten. The merge list bounds how long that takes
-(:func:`sufficient_lookahead`). Pieces that end within ``window`` symbols fit in the buffer and are merged there.
+A piece (the text between pre-tokenizer cuts) is fed symbol by symbol. The tokenization of each prefix is that of a
+shorter one and a last token, so what has been read is a tree of places. The merge list is analysed once for its
+sufficient lookahead (:meth:`Merges.sufficient_lookahead`): a token that ends so many symbols before the last one read is
+the same under any continuation. Such tokens are emitted and forgotten. All pieces take this way; a bounded cache
+remembers the ids of short words.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ ODD = regex.compile("[\\x1c-\\x1f]")  # white space to str.split() alone
 RUN = 4096
 CHUNK = 1 << 14
 CACHE = 1 << 18
+NO_SYMBOL = "\uffff"
+HELD = 64  # letters of the longest words and pieces that are remembered
 
 
 def byte_letters() -> dict[int, str]:
@@ -45,30 +47,63 @@ def byte_letters() -> dict[int, str]:
 
 
 class Merges:
-    """A merge list over symbols numbered as in the vocabulary."""
+    """A merge list over symbols numbered as in the vocabulary; ``letters`` gives each single symbol a character."""
 
-    def __init__(self, pairs: dict[tuple[int, int], tuple[int, int]], lengths: dict[int, int]):
+    def __init__(self, pairs: dict[tuple[int, int], tuple[int, int]], lengths: dict[int, int], letters: dict[int, str]):
         self.pairs, self.lengths = pairs, lengths
         self.longest = max(lengths.values(), default=1)
-        self.whole = {}
         self._ok: dict[tuple[int, int], bool] = {}
-        self.spell: dict[int, tuple[int, ...]] = {}
-        for s, n in lengths.items():
-            if n == 1:
-                self.spell[s] = (s,)
-        for (a, b), (_, made) in sorted(pairs.items(), key=lambda x: x[1][0]):
+        self.parts: dict[int, tuple[int, int]] = {}
+        self.proper = True
+        self.spell = {s: (s,) for s in letters}
+        spelled = dict(letters)
+        self.rank = dict.fromkeys(letters, -1)
+        for (a, b), (at, made) in sorted(pairs.items(), key=lambda x: x[1][0]):
+            self.proper &= made not in spelled and a in spelled and b in spelled
+            self.parts.setdefault(made, (a, b))
+            self.rank.setdefault(made, at)
             self.spell.setdefault(made, self.spell[a] + self.spell[b])
-        self.by_end: dict[int, list[int]] = {}
-        for made, spelled in self.spell.items():
-            self.by_end.setdefault(spelled[-1], []).append(made)
-        self.spelled = {x: t for t, x in self.spell.items()}
+            spelled.setdefault(made, spelled[a] + spelled[b])
+        # A token whose parts never meet, as their spelling is merged in another way, ends no prefix.
+        reached = set(letters)
+        for made, (a, b) in self.parts.items():
+            if self.proper:
+                if a in reached and b in reached and self._apart(a, b, self.rank[made]):
+                    reached.add(made)
+            elif self.merge([*self.spell[made]]) == [made]:
+                reached.add(made)
+        self.spelled = {x: t for t, x in spelled.items() if t in reached}
+        self.sizes: dict[str, set[int]] = {}  # the four last symbols of longer tokens -> lengths of such tokens
+        for x in self.spelled:
+            if len(x) > 4:
+                self.sizes.setdefault(x[-4:], set()).add(len(x))
+        self._endings: dict[str, list[tuple[int, int | None]]] = {}
+        self.lookahead = self.sufficient_lookahead()
 
     def sufficient_lookahead(self) -> int:
-        """Symbols after which a token can no longer change: one longest token for each merge of the list."""
-        return max(1, len(self.pairs)) * self.longest
+        """Symbols before the last one read at which tokens can no longer change.
+
+        Take a text and a continuation of it, and apply the merges in order to both. What they share from the left ends
+        at first where the text ends. A merge (a, b) moves that end only if a is the last shared token and b stands after
+        it in one of the two alone: by the length of a. From then on both go on with a token that has a as its left part,
+        its left part's left part, and so on, so the next merge to move the end is a later one whose right side has a there.
+        The most that such a chain of merges can move the end is found in one pass over the list. It needs a list in which
+        each token is made by one pair, after both of its parts; any other list gets the general bound, one longest token
+        for each merge.
+        """
+        if not self.proper:
+            return max(1, len(self.pairs)) * self.longest
+        moved: dict[int, int] = {}  # token -> furthest that a chain gets whose last merge had it on the left
+        for (a, b), _ in sorted(self.pairs.items(), key=lambda x: x[1][0]):
+            furthest, token = moved.get(b, 0), b
+            while token in self.parts:
+                token = self.parts[token][0]
+                furthest = max(furthest, moved.get(token, 0))
+            moved[a] = max(moved.get(a, 0), self.lengths[a] + furthest)
+        return max(moved.values(), default=1)
 
     def merge(self, symbols: list[int]) -> list[int]:
-        """Tokens of a buffered piece: the pair that stands first in the list is merged first, leftmost first."""
+        """Tokens of a few symbols: the pair that stands first in the list is merged first, leftmost first."""
         get = self.pairs.get
         while len(symbols) > 1:
             best, at = None, -1
@@ -87,71 +122,86 @@ class Merges:
         if known is None:
             if len(self._ok) >= CACHE:
                 self._ok.clear()
-            known = self._ok[a, b] = self.merge([*self.spell[a], *self.spell[b]]) == [a, b]
+            known = self._apart(a, b, len(self.rank)) if self.proper else self.merge([*self.spell[a], *self.spell[b]]) == [a, b]
+            self._ok[a, b] = known
         return known
 
-    def stream(self, symbols: Iterable[int]) -> Iterator[int]:
-        """Tokens of a piece of any length, each emitted once no continuation can change it.
+    def _apart(self, a: int, b: int, until: int) -> bool:
+        """Whether no merge before ``until`` crosses the border of two tokens; for proper lists.
 
-        Kept: the last ``longest`` symbols, and the tree of prefix tokenizations from the last emitted token on.
+        From the whole tokens back to single symbols: which two tokens met at the border, and until when each was there.
+        Of three equal ones in a row the first two are merged.
         """
-        recent: list[int] = []  # the last symbols
-        last: dict[int, int] = {0: -1}  # place -> token that ends there; the root has none
-        back: dict[int, int] = {}  # place -> place where that token begins
-        root = end = checked = 0
-        for symbol in symbols:
-            end += 1
-            recent = [*recent[-(self.longest - 1) :], symbol] if self.longest > 1 else [symbol]
-            for n in range(min(len(recent), end - root), 0, -1):
-                token = self.spelled.get(tuple(recent[-n:]))
-                start = end - n
-                if token is not None and start in last and (last[start] < 0 or self.fits(last[start], token)):
-                    last[end], back[end] = token, start
-                    break
-            if end - checked >= 4 * self.longest:
-                checked, old = end, root
-                live = {p for p in range(max(root, end - self.longest + 1), end + 1) if p in last}
-                while len(live) > 1:  # walk back from the furthest place until all paths meet
-                    p = max(live)
-                    live.discard(p)
-                    live.add(back[p])
-                meet = live.pop()
-                if meet > old:
-                    yield from self._path(meet, old, last, back)
-                    # The token before the root still decides what may follow it.
-                    reach = self._above(meet, end, back)
-                    keep = last[meet]
-                    last = {p: last[p] for p in reach if p != meet} | {meet: keep}
-                    back = {p: back[p] for p in reach if p != meet}
-                    root = meet
-        yield from self._path(end, root, last, back)
+        pairs, rank, parts = self.pairs, self.rank, self.parts
+        a_until = b_until = until
+        while True:
+            crossing = pairs.get((a, b))
+            if crossing is not None and crossing[0] < a_until and crossing[0] <= b_until:
+                return False
+            made_a, made_b = rank[a], rank[b]
+            if made_a < 0 and made_b < 0:
+                return True
+            if made_a > made_b:
+                a_until, a = made_a, parts[a][1]
+            else:
+                b_until, b = made_b, parts[b][0]
+
+    def endings(self, last: str) -> list[tuple[int, int | None]]:
+        """Lengths of tokens that may end with the four last symbols, longest first, and the token where these tell it."""
+        if len(self._endings) >= CACHE:
+            self._endings.clear()
+        out = [(n, None) for n in sorted(self.sizes.get(last, ()), reverse=True)]
+        out += [(4 - k, self.spelled[last[k:]]) for k in range(4) if last[k:] in self.spelled]
+        self._endings[last] = out
+        return out
 
-    @staticmethod
-    def _above(meet: int, end: int, back: dict[int, int]) -> list[int]:
-        """The places whose path goes through ``meet``."""
-        good = {meet}
-        for p in range(meet + 1, end + 1):
-            if back.get(p) in good:
-                good.add(p)
-        return sorted(good)
+    def stream(self, blocks: Iterable[str]) -> Iterator[int]:
+        """Tokens of a piece that comes in blocks, each emitted once the lookahead has passed it.
+
+        Kept: the symbols since the last emitted token, which are no more than the lookahead, a block and a token, and for
+        each of their places the last token of the tokenization that ends there.
+        """
+        spelled, endings, known = self.spelled.get, self._endings.get, self._ok.get
+        edge = max(4, self.longest)  # so many characters that stand for no symbol come before the others
+        text, token, begin = NO_SYMBOL * edge, [None] * (edge + 1), [0] * (edge + 1)
+        for block in blocks:
+            first, text = len(text) + 1, text + block
+            for end in range(first, len(text) + 1):
+                last = text[end - 4 : end]
+                for n, found in endings(last) or self.endings(last):
+                    if found is None:
+                        found = spelled(text[end - n : end])
+                        if found is None:
+                            continue
+                    left = token[end - n]
+                    if left is not None:
+                        good = known((left, found))
+                        if not (self.fits(left, found) if good is None else good):
+                            continue
+                    token.append(found)
+                    begin.append(end - n)
+                    break
+            stable = [x for x in self._path(edge, token, begin) if x <= len(text) - self.lookahead]
+            if stable:
+                yield from map(token.__getitem__, stable)
+                gone = stable[-1] - edge  # the token before decides what may follow it, so it stays in its place
+                text, token, begin = NO_SYMBOL * edge + text[stable[-1] :], token[gone:], [x - gone for x in begin[gone:]]
+        yield from map(token.__getitem__, self._path(edge, token, begin))
 
     @staticmethod
-    def _path(end: int, root: int, last: dict[int, int], back: dict[int, int]) -> list[int]:
-        out = []
-        while end > root:
-            out.append(last[end])
-            end = back[end]
+    def _path(edge: int, token: list, begin: list[int]) -> list[int]:
+        """The places where tokens end, from the edge to the last place."""
+        out, place = [], len(token) - 1
+        while place > edge:
+            out.append(place)
+            place = begin[place]
         return out[::-1]
 
 
-def sufficient_lookahead(merges: Merges) -> int:
-    return merges.sufficient_lookahead()
-
-
 class WordBpe:
     """Encoder and decoder for a tokenizer file of lower-cased words with an end mark."""
 
-    def __init__(self, path: str, window: int = 64):
+    def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, cuts = spec["model"], spec["pre_tokenizer"]["pretokenizers"]
@@ -170,7 +220,8 @@ class WordBpe:
             made = vocab[a + b]
             lengths.setdefault(made, lengths[vocab[a]] + lengths[vocab[b]])
             pairs.setdefault((vocab[a], vocab[b]), (rank, made))
-        self.merges, self.window = Merges(pairs, lengths), window
+        # A byte is the character of its number, the last byte of a piece that of its number and 256.
+        self.merges = Merges(pairs, lengths, {s: chr(k) for k, s in enumerate((*self.inner, *self.final))})
         bytes_of = {c: b for b, c in letters.items()}
         self.bytes = {
             i: bytes(bytes_of[c] for c in t.removesuffix(END)) + b" " * t.endswith(END) for t, i in vocab.items()
@@ -187,25 +238,25 @@ class WordBpe:
         text = self.blank.sub(" ", unicodedata.normalize("NFC", text))
         return text.replace("Σ", "σ").lower()  # each letter by itself: no special form at the end of words
 
-    def piece(self, piece: str) -> Iterable[int]:
-        raw = piece.encode()
-        if len(raw) > self.window:
-            inner, final, n = self.inner, self.final, len(raw) - 1
-            return self.merges.stream(final[b] if i == n else inner[b] for i, b in enumerate(raw))
-        return self.merges.merge([*map(self.inner.__getitem__, raw[:-1]), self.final[raw[-1]]])
+    def piece(self, piece: str) -> Iterator[int]:
+        raw, size = piece.encode(), self.merges.lookahead
+        symbols = raw[:-1].decode("latin-1") + chr(256 + raw[-1])
+        return self.merges.stream(symbols[k : k + size] for k in range(0, len(symbols), size))
 
     def word(self, word: str) -> list[int] | Iterator[int]:
-        """Ids of a word, which no piece leaves; a generator where a piece is longer than the window."""
+        """Ids of a word, which no piece leaves; a generator where a piece is longer than the lookahead."""
         pieces = [m[0] for m in self.cut.finditer(self.normal(word))]
-        if any(len(p) > self.window for p in pieces):
+        if any(len(p) > self.merges.lookahead for p in pieces):
             return (i for p in pieces for i in self.piece(p))
         out = []
         for p in pieces:
             ids = self.pieces.get(p)
             if ids is None:
-                if len(self.pieces) >= CACHE:
-                    self.pieces.clear()
-                ids = self.pieces[p] = self.piece(p)
+                ids = list(self.piece(p))
+                if len(p) <= HELD:
+                    if len(self.pieces) >= CACHE:
+                        self.pieces.clear()
+                    self.pieces[p] = ids
             out += ids
         return out
 
@@ -232,10 +283,11 @@ class WordBpe:
                                         yield out
                                         out = []
                                 continue
-                        if len(self.known) >= CACHE:
-                            self.past, self.known = self.known, {}
-                            get = self.known.get
-                        self.known[word] = ids
+                        if len(word) <= HELD:
+                            if len(self.known) >= CACHE:
+                                self.past, self.known = self.known, {}
+                                get = self.known.get
+                            self.known[word] = ids
                     out += ids
                 if len(out) >= CHUNK:
                     yield out
