@@ -32,7 +32,7 @@ def _rows(rows, columns):
 
 
 DUCK_TYPES = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "FLOAT": "float"}
-DUCK_TYPES |= {"DATE": "date", "TIMESTAMP": "timestamp_ntz", "DECIMAL(18,2)": "decimal(18,2)"}
+DUCK_TYPES |= {"DATE": "date", "TIMESTAMP": "timestamp_ntz", "DECIMAL(18,2)": "decimal(18,2)", "BOOLEAN": "boolean"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from txflow.config import FlowConfig
 from txflow.functions import columns as fx
-from txflow.operators import cleanse, digests, dml, quality, rollup, upsert
+from txflow.operators import cleanse, digests, dml, quality, rollup, sketches, upsert
 from txflow.operators.dedup import dedupe, duplicate_keys
 from txflow.plans import daily
 from txflow.plans.fixtures import copies, dirty_tx, load, originals
@@ -769,6 +769,44 @@ def _(spark, sf):
     return quality.profile_amounts(dirty_tx(spark, sf))
 
 
+@_query(
+    "audit_sketched_periods",
+    TX
+    + """
+select month, sum(n)::bigint as total_rows, sum(positive)::bigint as positive_rows, sum(zero)::bigint as zero_rows,
+       sum(negative)::bigint as negative_rows, sum(missing)::bigint as missing_rows,
+       max(case when merchant is not null then n end)::bigint as most_frequent_rows,
+       true as distinct_within_bound, true as median_within_bound
+from (select date_trunc('month', "timestamp")::date as month, merchant, count(*) as n,
+             count(*) filter (where amount > 0) as positive, count(*) filter (where amount = 0) as zero,
+             count(*) filter (where amount < 0) as negative, count(*) filter (where amount is null) as missing
+      from dirty_tx group by 1, 2)
+group by month""",
+)
+def _(spark, sf):
+    """Months put together from stored day summaries of two batches; estimates are held against the exact ones."""
+    store = sketches.SketchStore(spark, storage.fresh_dir(spark, "sketches"), item="merchant")
+    store.add("originals", originals(spark, sf))
+    store.add("copies", copies(spark, sf))
+    month = F.trunc("day", "month").alias("month")
+    found = sketches.sketched_profile(sketches.merge_sketches(store.days(), month), {"median": 0.5}, top=1)
+    rows = dirty_tx(spark, sf).withColumn("month", F.trunc(F.to_date("timestamp"), "month"))
+    once = rows.groupBy("month", "transaction_id").agg(F.count(F.lit(1)).alias("n"))
+    distinct = once.groupBy("month").agg(F.count("transaction_id").alias("ids"))
+    placed = rows.join(found.select("month", "median"), "month").groupBy("month").agg(
+        F.count("amount").alias("n"), F.count_if(F.col("amount") < F.col("median")).alias("below"),
+        F.count_if(F.col("amount") <= F.col("median")).alias("upto"),
+    )
+    near = (F.col("below") - 0.02 * F.col("n") <= 0.5 * F.col("n")) & (F.col("upto") + 0.02 * F.col("n") >= 0.5 * F.col("n"))
+    return found.join(distinct, "month").join(placed, "month").select(
+        "month",
+        *sketches.COUNTERS,
+        F.get("frequent", F.lit(0))["count"].alias("most_frequent_rows"),
+        (F.abs(F.col("distinct_ids") - F.col("ids")) <= 0.04 * F.col("ids")).alias("distinct_within_bound"),
+        near.alias("median_within_bound"),
+    )
+
+
 # -- fixture and incremental run -----------------------------------------------
 
 
