@@ -1,5 +1,6 @@
 """Audits by merged sketches, against exact values."""
 
+import json
 import random
 from collections import Counter
 from datetime import date, datetime, timedelta
@@ -7,6 +8,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from txflow.__main__ import main
 from txflow.operators import sketches
 from txflow.operators.sketches import SketchStore
 
@@ -95,3 +97,14 @@ def test_a_period_reads_no_history(spark, root):
     plan = store.profile(date(2026, 1, 2), date(2026, 1, 3))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and root.split("/")[-1] in plan and "transaction_id" not in plan
     assert "GreaterThanOrEqual(day,2026-01-02)" in plan and "LessThanOrEqual(day,2026-01-03)" in plan
+
+
+def test_command_line(spark, root, tmp_path, capsys):
+    rows = drawn(800, 4)
+    spark.createDataFrame(rows, FIELDS).write.parquet(str(tmp_path / "new"))
+    for _ in range(2):
+        main(["audit", "--store", root, "--source", str(tmp_path / "new"), "--batch-id", "day-1"])
+    capsys.readouterr()
+    main(["audit-period", "--store", root, "--since", "2026-01-04", "--until", "2026-01-04"])
+    (line,) = [x for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert json.loads(line)["total_rows"] == sum(r[3].date() == date(2026, 1, 4) for r in rows)
