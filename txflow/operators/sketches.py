@@ -20,7 +20,8 @@ class Precision:
     """Sizes of the sketches, which set their errors and not what rows they cover.
 
     Distinct ids are off by about 1.04 / sqrt(2^ids) (0.8 % at 14), one standard deviation. A rank of a quantile is off by
-    less than 2.3 / amounts^0.97 (0.7 % at 400) with a probability of 99 %. Frequent items are counted exactly while there are fewer than three quarters of ``items``.
+    less than 2.3 / amounts^0.97 (0.7 % at 400) with a probability of 99 %. Frequent items are counted exactly while there
+    are fewer than three quarters of ``items``.
     """
 
     ids: int = 14
