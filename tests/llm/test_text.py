@@ -182,6 +182,16 @@ def test_stream_emits_before_the_piece_ends_and_keeps_little(coder):
     assert taken <= merges.lookahead + merges.longest + len("internationalisation")
 
 
+def test_word_caches_stay_bounded_and_exact(library, monkeypatch):
+    """A worker's memory for words stays within two generations of the bound, whatever the vocabulary of its texts."""
+    monkeypatch.setattr(bpe, "WORDS", 50)
+    coder, rng = bpe.WordBpe(bpe.public_path()), random.Random(3)
+    text = " ".join("".join(rng.choice("etaonishrdlu") for _ in range(rng.randrange(1, 9))) for _ in range(3000))
+    for _ in range(2):
+        assert ids(coder, text) == library.encode(text, add_special_tokens=False).ids
+    assert len(coder.known) + len(coder.past) <= 100 and len(coder.pieces) + len(coder.old_pieces) <= 100
+
+
 def test_all_tokens_come_from_the_transducer(texts):
     coder, streamed, whole = bpe.WordBpe(bpe.public_path()), [], bpe.Merges.stream
     coder.merges.stream = lambda blocks: [streamed.append(t) or t for t in whole(coder.merges, blocks)]

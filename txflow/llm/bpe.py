@@ -35,6 +35,7 @@ ODD = regex.compile("[\\x1c-\\x1f]")  # white space to str.split() alone
 RUN = 4096
 CHUNK = 1 << 14
 CACHE = 1 << 18
+WORDS = 1 << 16  # words and pieces remembered, in each of two generations: their ids cost a worker far more memory
 NO_SYMBOL = "\uffff"
 HELD = 64  # letters of the longest words and pieces that are remembered
 
@@ -230,6 +231,7 @@ class WordBpe:
         self.blank = regex.compile(f"[{BLANK}]+")
         self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.pieces: dict[str, list[int]] = {}
+        self.old_pieces: dict[str, list[int]] = {}
         self.known: dict[str, list[int]] = {}
         self.past: dict[str, list[int]] = {}
         self.digits = {i: str(i) for i in self.text}
@@ -250,13 +252,13 @@ class WordBpe:
             return (i for p in pieces for i in self.piece(p))
         out = []
         for p in pieces:
-            ids = self.pieces.get(p)
+            ids = self.pieces.get(p) or self.old_pieces.get(p)
             if ids is None:
                 ids = list(self.piece(p))
-                if len(p) <= HELD:
-                    if len(self.pieces) >= CACHE:
-                        self.pieces.clear()
-                    self.pieces[p] = ids
+            if len(p) <= HELD and p not in self.pieces:
+                if len(self.pieces) >= WORDS:
+                    self.old_pieces, self.pieces = self.pieces, {}
+                self.pieces[p] = ids
             out += ids
         return out
 
@@ -284,7 +286,7 @@ class WordBpe:
                                         out = []
                                 continue
                         if len(word) <= HELD:
-                            if len(self.known) >= CACHE:
+                            if len(self.known) >= WORDS:
                                 self.past, self.known = self.known, {}
                                 get = self.known.get
                             self.known[word] = ids
