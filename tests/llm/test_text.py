@@ -182,6 +182,23 @@ def test_stream_emits_before_the_piece_ends_and_keeps_little(coder):
     assert taken <= merges.lookahead + merges.longest + len("internationalisation")
 
 
+def test_stream_tries_no_token_over_the_edge(library):
+    """Lengths longer than the symbols read are not looked up, and a short piece's path is walked once, at its end."""
+    coder = bpe.WordBpe(bpe.public_path())
+    looked, walked, path = [], [], bpe.Merges._path
+
+    class Spelled(dict):
+        def get(self, key, default=None):
+            looked.append(key)
+            return super().get(key, default)
+
+    coder.merges.spelled = Spelled(coder.merges.spelled)
+    coder.merges._path = lambda *a: walked.append(1) or path(*a)
+    for piece in ("internationalisation", "counterrevolutionaries", "the", "é" * 40):
+        assert list(coder.piece(piece)) == library.encode(piece, add_special_tokens=False).ids
+    assert looked and not any(bpe.NO_SYMBOL in key for key in looked) and len(walked) == 4
+
+
 def test_word_caches_stay_bounded_and_exact(library, monkeypatch):
     """A worker's memory for words stays within two generations of the bound, whatever the vocabulary of its texts."""
     monkeypatch.setattr(bpe, "WORDS", 50)

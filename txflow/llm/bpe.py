@@ -168,8 +168,10 @@ class Merges:
         for block in blocks:
             first, text = len(text) + 1, text + block
             for end in range(first, len(text) + 1):
-                last = text[end - 4 : end]
+                last, room = text[end - 4 : end], end - edge  # no token reaches back into the edge
                 for n, found in endings(last) or self.endings(last):
+                    if n > room:
+                        continue
                     if found is None:
                         found = spelled(text[end - n : end])
                         if found is None:
@@ -182,6 +184,8 @@ class Merges:
                     token.append(found)
                     begin.append(end - n)
                     break
+            if len(text) - self.lookahead <= edge:  # too short a stretch for any token to be settled
+                continue
             stable = [x for x in self._path(edge, token, begin) if x <= len(text) - self.lookahead]
             if stable:
                 yield from map(token.__getitem__, stable)
